@@ -57,18 +57,18 @@ def count_below(df: DataFrame, column: str, edges: Sequence[float], output: str,
         running.append(running[-1] + w)
     if strict:
         # ranges are closed on the left, so the strict form works on negated values
-        negated = df.withColumn("_neg", -F.col(column).cast("double"))
+        negated = df.withColumn("_side", -F.col(column).cast("double"))
         splits = [-math.inf, *[-d for d in reversed(distinct)], math.inf]
-        tagged = Bucketizer(splits=splits, inputCol="_neg", outputCol="_b", handleInvalid="keep").transform(negated)
-        index = F.lit(len(distinct)) - F.col("_b").cast("int")
+        tagged = Bucketizer(splits=splits, inputCol="_side", outputCol="_edge", handleInvalid="keep").transform(negated)
+        index = F.lit(len(distinct)) - F.col("_edge").cast("int")
     else:
         splits = [-math.inf, *distinct, math.inf]
-        base = df.withColumn("_neg", F.col(column).cast("double"))
-        tagged = Bucketizer(splits=splits, inputCol="_neg", outputCol="_b", handleInvalid="keep").transform(base)
-        index = F.col("_b").cast("int")
+        base = df.withColumn("_side", F.col(column).cast("double"))
+        tagged = Bucketizer(splits=splits, inputCol="_side", outputCol="_edge", handleInvalid="keep").transform(base)
+        index = F.col("_edge").cast("int")
     lookup = F.array(*[F.lit(r) for r in running])
     value = F.when(F.col(column).isNotNull(), F.try_element_at(lookup, index + 1))
-    return tagged.withColumn(output, value.cast("long")).drop("_neg", "_b")
+    return tagged.withColumn(output, value.cast("long")).drop("_side", "_edge")
 
 
 def distribution(
