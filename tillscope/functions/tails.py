@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_two_sided(z: pd.Series) -> pd.Series:
     """P(|Z| > |z|)."""
     return z.map(lambda v: None if pd.isna(v) else math.erfc(abs(v) / math.sqrt(2.0)))
@@ -42,7 +42,7 @@ def _gamma_upper(a: float, x: float) -> float:
     return scale * h
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_upper(x: pd.Series, df: pd.Series) -> pd.Series:
     """P(chi-square with df degrees of freedom > x)."""
     return pd.Series(

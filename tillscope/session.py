@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+# helper functions travel to the Python workers by value: executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules["tillscope"])
+
 # Runtime settings that every job relies on. They can be set on a running session.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
