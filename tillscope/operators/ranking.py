@@ -31,21 +31,19 @@ def range_edges(df: DataFrame, columns: Sequence[str], buckets: int | None = Non
 
 def assign_ranges(df: DataFrame, edges: dict[str, list[float]], outputs: dict[str, str]) -> DataFrame:
     """Add an integer range number per column; nulls get a range of their own at the end."""
-    for column, name in outputs.items():
-        inner = sorted(set(e for e in edges.get(column, []) if math.isfinite(e)))
-        if not inner:
-            df = df.withColumn(name, F.lit(0))
-            continue
-        splits = [-math.inf, *inner, math.inf]
-        raw = f"_in_{name}"
-        df = df.withColumn(raw, clean_double(column))
-        df = (
-            Bucketizer(splits=splits, inputCol=raw, outputCol=name, handleInvalid="keep")
-            .transform(df)
-            .withColumn(name, F.col(name).cast("int"))
-            .drop(raw)
-        )
-    return df
+    inner = {c: sorted(set(e for e in edges.get(c, []) if math.isfinite(e))) for c in outputs}
+    cut = [c for c in outputs if inner[c]]
+    fixed = {outputs[c]: F.lit(0) for c in outputs if not inner[c]}
+    if fixed:
+        df = df.withColumns(fixed)
+    if not cut:
+        return df
+    raw = {c: f"_in_{outputs[c]}" for c in cut}
+    bucketizer = Bucketizer(
+        splitsArray=[[-math.inf, *inner[c], math.inf] for c in cut], inputCols=[raw[c] for c in cut], outputCols=[outputs[c] for c in cut], handleInvalid="keep"
+    )
+    tagged = bucketizer.transform(df.withColumns({raw[c]: clean_double(c) for c in cut}))
+    return tagged.withColumns({outputs[c]: F.col(outputs[c]).cast("int") for c in cut}).drop(*raw.values())
 
 
 def count_below(df: DataFrame, column: str, edges: Sequence[float], output: str, strict: bool = True) -> DataFrame:

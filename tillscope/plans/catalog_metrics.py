@@ -80,7 +80,8 @@ def q_dense(spark, d):
 
 def _filled(fill):
     def query(spark, d):
-        return rounded(series.prepare(sales_rows(spark, d), "date", "sales", ["series_id"], freq="D", fill=fill), 2)
+        daily = daily_series(spark, d).withColumnRenamed("actual", "sales")
+        return rounded(series.densify(daily, "sales", "ds", ["series_id"], freq="D", fill=fill), 2)
 
     return query
 
