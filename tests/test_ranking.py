@@ -66,3 +66,24 @@ def test_lookup_spreads_hot_keys(spark, frame):
     assert len(out) == len(frame)
     expect = frame.groupby("g").v.mean()
     assert np.allclose(out.m, out.g.map(expect))
+
+
+@pytest.mark.parametrize("limit", [200_000, 40])
+def test_quantiles_of_skewed_and_tiny_columns(spark, frame, limit, monkeypatch):
+    monkeypatch.setattr(ranking, "MAX_VALUES", limit)
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"u": rng.normal(size=5000), "heavy": np.where(rng.random(5000) < 0.6, 3.0, rng.integers(0, 9, 5000).astype(float)), "flat": 1.0})
+    probs = [0.0, 0.01, 0.2, 0.25, 0.5, 0.6, 0.95, 1.0]
+    got = ranking.column_quantiles(spark.createDataFrame(pdf), list(pdf), probs)
+    for c in pdf:
+        assert np.allclose(got[c], pdf[c].quantile(probs)), c
+    small = spark.createDataFrame([(1.0, None), (2.0, None), (10.0, None)], "a double, b double")
+    assert ranking.column_quantiles(small, ["a", "b"], [0.25, 0.5]) == {"a": [1.5, 2.0], "b": [None, None]}
+
+
+def test_negative_zero_is_zero(spark):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([-0.0, 0.0, -0.0, 1.0, -1.0] * 20)], "id long, v double")
+    d = ranking.distribution(df, "v").toPandas()
+    assert len(d) == 3 and d.n.sum() == 100
+    below = ranking.count_below(df, "v", [-0.0], "c").groupBy("v").agg(F.max("c").alias("hi"), F.min("c").alias("lo")).toPandas()
+    assert (below.hi == below.lo).all()

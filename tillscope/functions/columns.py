@@ -26,9 +26,9 @@ def elapsed_days(later: Column, earlier: Column) -> Column:
 
 
 def clean_double(c: str | Column) -> Column:
-    """Double with NaN turned into null."""
+    """Double with NaN turned into null and negative zero into zero (range look-ups tell them apart)."""
     d = col(c).cast("double")
-    return F.when(~F.isnan(d), d)
+    return F.when(~F.isnan(d), d + F.lit(0.0))
 
 
 def finite_or_zero(c: str | Column) -> Column:
@@ -72,3 +72,10 @@ def unpivot(df: DataFrame, keep: Sequence[str], values: Sequence[str], name: str
     """Wide to long: one row per (kept columns, feature); NaN becomes null."""
     pairs = F.explode(F.array(*[F.struct(F.lit(v).alias(name), clean_double(v).alias(value)) for v in values]))
     return df.select(*keep, pairs.alias("_p")).select(*keep, f"_p.{name}", f"_p.{value}")
+
+
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows where both are known; null (not an error) without variance."""
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

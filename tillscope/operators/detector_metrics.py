@@ -11,7 +11,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillscope.functions.columns import safe_div
+from tillscope.functions.columns import correlation, safe_div
 from tillscope.operators import ranking
 
 MAX_MODELS = 1000
@@ -53,7 +53,7 @@ def confusion(df: DataFrame, y: str = "y", pred: str = "pred", groups: Sequence[
 
 def orient(df: DataFrame, y: str = "y", score: str = "score", groups: Sequence[str] = ()) -> DataFrame:
     """Turn the score so that it does not correlate negatively with the label (per model)."""
-    rows = df.groupBy(*groups).agg(F.corr(F.col(score).cast("double"), F.col(y).cast("double")).alias("_r")).limit(MAX_MODELS + 1).collect()
+    rows = df.groupBy(*groups).agg(correlation(F.col(score), F.col(y)).alias("_r")).limit(MAX_MODELS + 1).collect()
     if len(rows) > MAX_MODELS:
         raise ValueError(f"more than {MAX_MODELS} models in one comparison")
     turned = [r for r in rows if r["_r"] is not None and r["_r"] < 0]

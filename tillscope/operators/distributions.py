@@ -7,7 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillscope.functions.columns import clean_double, numeric_columns
+from tillscope.functions.columns import clean_double, correlation, numeric_columns
 from tillscope.functions.tails import kolmogorov_upper
 from tillscope.operators import ranking
 
@@ -32,7 +32,7 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """Pearson correlation of every two columns in one aggregate: (column_a, column_b, r)."""
     columns = list(columns or numeric_columns(df))
     pairs = list(combinations(columns, 2))
-    both = lambda a, b: F.corr(clean_double(a), clean_double(b))
+    both = lambda a, b: correlation(clean_double(a), clean_double(b))
     row = df.agg(*[both(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)], *[both(c, c).alias(f"d{i}") for i, c in enumerate(columns)])
     items = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
     items += [F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]

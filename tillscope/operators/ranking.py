@@ -18,6 +18,8 @@ from tillscope.functions.columns import clean_double
 from tillscope.session import bucket_count
 
 HOT_KEY_ROWS = 1_000_000
+SKETCH_ERROR = 1e-3
+MAX_VALUES = 200_000
 
 
 def range_edges(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
@@ -48,6 +50,7 @@ def assign_ranges(df: DataFrame, edges: dict[str, list[float]], outputs: dict[st
 
 def count_below(df: DataFrame, column: str, edges: Sequence[float], output: str, strict: bool = True) -> DataFrame:
     """Add how many edges lie below the value (``edge < x``, or ``edge <= x`` when not strict)."""
+    edges = [e + 0.0 for e in edges]
     distinct = sorted(set(edges))
     weight = [sum(1 for e in edges if e == d) for d in distinct]
     running = [0]
@@ -55,13 +58,13 @@ def count_below(df: DataFrame, column: str, edges: Sequence[float], output: str,
         running.append(running[-1] + w)
     if strict:
         # ranges are closed on the left, so the strict form works on negated values
-        negated = df.withColumn("_side", -F.col(column).cast("double"))
-        splits = [-math.inf, *[-d for d in reversed(distinct)], math.inf]
+        negated = df.withColumn("_side", F.lit(0.0) - F.col(column).cast("double"))
+        splits = [-math.inf, *[0.0 - d for d in reversed(distinct)], math.inf]
         tagged = Bucketizer(splits=splits, inputCol="_side", outputCol="_edge", handleInvalid="keep").transform(negated)
         index = F.lit(len(distinct)) - F.col("_edge").cast("int")
     else:
         splits = [-math.inf, *distinct, math.inf]
-        base = df.withColumn("_side", F.col(column).cast("double"))
+        base = df.withColumn("_side", F.col(column).cast("double") + F.lit(0.0))
         tagged = Bucketizer(splits=splits, inputCol="_side", outputCol="_edge", handleInvalid="keep").transform(base)
         index = F.col("_edge").cast("int")
     lookup = F.array(*[F.lit(r) for r in running])
@@ -88,7 +91,7 @@ def distribution(
         rows = assign_ranges(rows, range_edges(rows, [value], buckets), {value: "_range"})
         bucket = "_range"
     sums = {"n": F.count(F.lit(1)), **{w: F.sum(c) for w, c in weights.items()}}
-    counts = rows.groupBy(*groups, bucket, F.col(value).alias(value)).agg(*[c.alias(n) for n, c in sums.items()])
+    counts = rows.groupBy(*groups, bucket, value).agg(*[c.alias(n) for n, c in sums.items()])
     inside = Window.partitionBy(*groups, bucket).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     counts_in = counts.select(
         "*", *[F.coalesce(F.sum(n).over(inside), F.lit(0)).alias(f"_{n}_in") for n in sums]
@@ -154,13 +157,84 @@ def long_ranges(df: DataFrame, keep: Sequence[str], columns: Sequence[str], buck
     )
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], buckets: int | None = None) -> dict[str, list[float | None]]:
-    """Exact global quantiles of several columns, returned as plain numbers (one row per column)."""
-    named = {f"q{i}": p for i, p in enumerate(probabilities)}
-    long = long_ranges(df, [], columns, buckets)
-    rows = distribution(long, "value", ["feature"], bucket="_range").groupBy("feature").agg(*quantile_columns("value", named)).collect()
-    found = {r["feature"]: [r[n] for n in named] for r in rows}
-    return {c: found.get(c, [None] * len(named)) for c in columns}
+def _collect_values(base: DataFrame, spans: list[tuple[str, float, float]]) -> list[list[tuple[float, int]] | None]:
+    """Distinct values with counts inside each span; None where there are more than the limit."""
+    items = F.array(*[F.when(F.col(c).between(lo, hi), F.struct(F.lit(i).alias("i"), F.col(c).alias("v"))) for i, (c, lo, hi) in enumerate(spans)])
+    inside = base.select(F.explode(F.array_compact(items)).alias("_s")).groupBy("_s.i", "_s.v").agg(F.count(F.lit(1)).alias("k"))
+    rows = inside.limit(MAX_VALUES + 1).collect()
+    if len(rows) > MAX_VALUES and len(spans) > 1:
+        return [_collect_values(base, [one])[0] for one in spans]
+    if len(rows) > MAX_VALUES:
+        return [None]
+    found: list[list[tuple[float, int]]] = [[] for _ in spans]
+    for r in rows:
+        found[r["i"]].append((r["v"], r["k"]))
+    return [sorted(f) for f in found]
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], error: float = SKETCH_ERROR) -> dict[str, list[float | None]]:
+    """Exact, linearly interpolated global quantiles of several columns as plain numbers.
+
+    A sketch brackets each quantile, one aggregate counts what lies below the brackets, and only the
+    distinct values inside them are looked at. A bracket that still holds many values is narrowed
+    again. No step shuffles the column, and what reaches the driver is limited.
+    """
+    columns, probabilities = list(columns), list(probabilities)
+    base = df.select(*[clean_double(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    names = [f"c{i}" for i in range(len(columns))]
+    wanted = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-2 * error, 2 * error)})
+    sketch = {n: dict(zip(wanted, v)) for n, v in zip(names, base.approxQuantile(names, wanted, error))}
+    out: dict[tuple[str, float], float | None] = {}
+    spans: dict[tuple[str, float], tuple[float, float]] = {}
+    for n in names:
+        for p in probabilities:
+            if not sketch[n]:
+                out[n, p] = None
+            else:
+                spans[n, p] = (sketch[n][max(0.0, p - 2 * error)], sketch[n][min(1.0, p + 2 * error)])
+    while spans:
+        keys = list(spans)
+        counted = base.agg(
+            *[F.count(n).alias(f"n_{n}") for n in {k[0] for k in keys}],
+            *[F.count_if(F.col(k[0]) < spans[k][0]).alias(f"b{i}") for i, k in enumerate(keys)],
+            *[F.count_if(F.col(k[0]).between(*spans[k])).alias(f"i{i}") for i, k in enumerate(keys)],
+        ).first()
+        todo, after = [], {}
+        for i, k in enumerate(keys):
+            at = (counted[f"n_{k[0]}"] - 1) * k[1]
+            below, inside = counted[f"b{i}"], counted[f"i{i}"]
+            if not below <= math.floor(at) or not math.ceil(at) < below + inside:
+                after[k] = (-math.inf, math.inf)  # the sketch missed by a rank (tiny inputs)
+            elif spans[k][0] == spans[k][1]:
+                out[k] = spans[k][0]
+            else:
+                todo.append((k, at, below, inside))
+        narrow = [t for t in todo if t[3] > MAX_VALUES]
+        for k, at, below, inside in narrow:
+            low, high = spans[k]
+            part = base.where(F.col(k[0]).between(low, high))
+            rank = (at - below) / inside
+            ends = part.approxQuantile(k[0], [max(0.0, rank - 2 * error), min(1.0, rank + 2 * error)], error)
+            after[k] = (ends[0], ends[1])
+        # a span that did not shrink holds few, heavy values: read its distinct values
+        ready = [t for t in todo if t[3] <= MAX_VALUES or after.get(t[0]) == spans[t[0]]]
+        if ready:
+            values = _collect_values(base, [(t[0][0], *spans[t[0]]) for t in ready])
+            for (k, at, below, _), found in zip(ready, values):
+                after.pop(k, None)
+                if found is None:
+                    raise ValueError("a quantile bracket could not be narrowed")
+                picked = []
+                for position in (math.floor(at), math.ceil(at)):
+                    run = below
+                    for v, c in found:
+                        run += c
+                        if position < run:
+                            picked.append(v)
+                            break
+                out[k] = picked[0] + (picked[1] - picked[0]) * (at - math.floor(at))
+        spans = after
+    return {c: [out[n, p] for p in probabilities] for c, n in zip(columns, names)}
 
 
 def _tie_key(df: DataFrame, tie: str) -> Column:
@@ -168,6 +242,11 @@ def _tie_key(df: DataFrame, tie: str) -> Column:
     return F.col(tie).cast("double") if numeric else F.xxhash64(tie).cast("double")
 
 
+def order_edges(df: DataFrame, orders: Sequence[str], tie: str, buckets: int | None = None) -> dict[str, list[float]]:
+    """Range edges for several ``in_order`` calls on the same rows, from one pass."""
+    return range_edges(df.withColumn("_tie", _tie_key(df, tie)), [*orders, "_tie"], buckets)
+
+
 def in_order(
     df: DataFrame,
     order: str,
@@ -177,17 +256,19 @@ def in_order(
     position: str = "position",
     size: str | None = None,
     buckets: int | None = None,
+    edges: dict[str, list[float]] | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1..n by (order, tie) and fetch columns of the row before.
 
     ``previous`` maps new column names to columns read from the preceding row. A group of any size
     is cut in ranges of ``order``; a value of ``order`` that is itself heavy is cut by ``tie``.
-    ``order`` must be numeric; a text ``tie`` is ordered by its hash, then by itself.
+    ``order`` must be numeric; a text ``tie`` is ordered by its hash, then by itself. ``edges`` (from
+    ``order_edges``) saves the sketch pass when several orders of one table are needed.
     """
     previous = previous or {}
     buckets = buckets or bucket_count(df.sparkSession)
     keyed = df.withColumn("_tie", _tie_key(df, tie))
-    edges = range_edges(keyed, [order, "_tie"], buckets)
+    edges = edges or range_edges(keyed, [order, "_tie"], buckets)
     tagged = assign_ranges(keyed, edges, {order: "_r"})
     repeats: dict[float, int] = {}
     for e in edges[order]:

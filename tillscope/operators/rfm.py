@@ -50,18 +50,19 @@ def _quantile_score(df: DataFrame, column: str, bins: int, output: str) -> DataF
     return ranking.count_below(df, column, inner, output).withColumn(output, F.lit(bins) - F.col(output))
 
 
-def _position_score(df: DataFrame, column: str, tie: str, bins: int, output: str) -> DataFrame:
+def _position_score(df: DataFrame, column: str, tie: str, bins: int, output: str, edges: dict | None = None) -> DataFrame:
     """Quantile bin of the 1..n position by (value, tie), in whole numbers."""
-    numbered = ranking.in_order(df, column, tie, position="_p", size="_n")
+    numbered = ranking.in_order(df, column, tie, position="_p", size="_n", edges=edges)
     score = F.greatest(F.lit(1), F.expr(f"((_p - 1) * {bins} + greatest(_n - 2, 0)) div greatest(_n - 1, 1)"))
     return numbered.withColumn(output, score.cast("long")).drop("_p", "_n")
 
 
 def rfm_scores(table: DataFrame, customer: str = "customer_id", recency_bins: int = 5, frequency_bins: int = 5, monetary_bins: int = 5) -> DataFrame:
     """Add r, f, m scores, the joined code and the total. ``table`` is read several times: materialise it first."""
+    edges = ranking.order_edges(table, ["frequency", "monetary"], customer)
     out = _quantile_score(table, "recency", recency_bins, "r_score")
-    out = _position_score(out, "frequency", customer, frequency_bins, "f_score")
-    out = _position_score(out, "monetary", customer, monetary_bins, "m_score")
+    out = _position_score(out, "frequency", customer, frequency_bins, "f_score", edges)
+    out = _position_score(out, "monetary", customer, monetary_bins, "m_score", edges)
     scores = [F.col(c) for c in ("r_score", "f_score", "m_score")]
     return out.withColumn("rfm_score", F.concat(*[s.cast("string") for s in scores])).withColumn("rfm_total", sum(scores[1:], scores[0]))
 

@@ -107,15 +107,11 @@ def trailing_profile(
         return [c.over(window).alias(f"{prefix}{m}") for m, c in _stats(x, d).items()]
 
     edges = [c for w, k in steps.items() for c in pick(F.col("_shift") == k, later, f"l{w}_")]
-    pieces = copies.select(
-        "_key",
-        "_cell",
-        "_row",
-        "_shift",
-        *pick(own, upto, "r_"),
-        *edges,
-        F.last(F.when(own, F.struct("_t", "_id", "_x")), ignorenulls=True).over(before).alias("_in_cell"),
-    ).where(own)
+    # exchange the narrow rows first; then one sort serves both rising windows, another the falling one
+    placed = copies.repartition("_key", "_cell")
+    seen = placed.withColumn("_in_cell", F.last(F.when(own, F.struct("_t", "_id", "_x")), ignorenulls=True).over(before))
+    seen = seen.select("*", *pick(own, upto, "r_"))
+    pieces = seen.select("_key", "_cell", "_row", "_shift", "_in_cell", *[f"r_{m}" for m in merge], *edges).where(own)
     joined = pieces.join(summary, ["_key", "_cell"], "left")
 
     def combine(w: int, m: str) -> Column:
