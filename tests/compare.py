@@ -71,7 +71,7 @@ def main():
     p.add_argument("names", nargs="*")
     args = p.parse_args()
     os.environ.setdefault("PYTHONPATH", ROOT)
-    spark = build_session("compare", **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+    spark = build_session("compare", **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(args.sf)
     failed = 0

@@ -22,7 +22,7 @@ def planted():
     return pd.DataFrame(x, columns=["a", "b", "c"]).assign(id=np.arange(2000), y=(np.arange(2000) < 20).astype(int))
 
 
-def test_clusters_and_choice_of_k(spark, blobs):
+def test_clusters_and_choice_of_k(spark, blobs, tmp_path):
     df = spark.createDataFrame(blobs)
     m = clustering.fit(df, ["a", "b"], k_range=(2, 5), restarts=3)
     assert m.k == 3 and m.selection_table(spark).count() == 4
@@ -32,6 +32,9 @@ def test_clusters_and_choice_of_k(spark, blobs):
     assert q.silhouette_squared > 0.9 and q.davies_bouldin < 0.3 and q.calinski_harabasz > 500
     centers = m.centers(spark).toPandas()
     assert np.allclose(sorted(centers.a), sorted(blobs.groupby("true").a.mean()), atol=1e-6)
+    clustering.save(m, spark, str(tmp_path / "m"))
+    again = clustering.load(spark, str(tmp_path / "m")).assign(df).toPandas()
+    assert (again.sort_values("id").cluster.values == got.sort_values("id").cluster.values).all()
     p = clustering.project(m, df).toPandas().sort_values("id")
     scaled = (blobs[["a", "b"]] - blobs[["a", "b"]].mean()) / blobs[["a", "b"]].std(ddof=0)
     assert np.isclose(p.PC1.var(), np.linalg.eigvalsh(np.cov(scaled.T))[-1])

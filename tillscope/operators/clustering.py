@@ -22,6 +22,7 @@ K_RANGE = (2, 10)
 RESTARTS = 10
 MAX_ITERATIONS = 300
 PARALLEL_FITS = 4
+MAX_CLUSTERS = 1000
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,19 @@ class ClusterModel:
         return spark.createDataFrame(self.selection, "k long, inertia double, silhouette double")
 
 
+def save(model: ClusterModel, spark, path: str) -> None:
+    """The Spark ML model next to a table of fill values and scaling."""
+    model.model.write().overwrite().save(f"{path}/kmeans")
+    rows = [(i, c, model.fill[c], model.scaler.center[c], model.scaler.scale[c]) for i, c in enumerate(model.columns)]
+    spark.createDataFrame(rows, "place int, column string, fill double, center double, scale double").write.mode("overwrite").parquet(f"{path}/columns")
+
+
+def load(spark, path: str) -> ClusterModel:
+    rows = sorted(spark.read.parquet(f"{path}/columns").collect(), key=lambda r: r["place"])
+    scaler = cleaning.Scaler("stored", {r["column"]: r["center"] for r in rows}, {r["column"]: r["scale"] for r in rows})
+    return ClusterModel(tuple(r["column"] for r in rows), {r["column"]: r["fill"] for r in rows}, scaler, KMeansModel.load(f"{path}/kmeans"))
+
+
 def _vectors(df: DataFrame, columns: Sequence[str], fill: dict[str, float], scaler: cleaning.Scaler) -> DataFrame:
     scaled = {f"_s_{i}": (F.coalesce(clean_double(c), F.lit(fill[c])) - F.lit(scaler.center[c])) / F.lit(scaler.scale[c]) for i, c in enumerate(columns)}
     wide = df.withColumns(scaled)
@@ -132,8 +146,10 @@ def spread_metrics(df: DataFrame, cluster: str, columns: Sequence[str]) -> DataF
     stats = known.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)])
     both = known.select(cluster, *[x.alias(f"x{i}") for i, x in enumerate(xs)]).join(F.broadcast(stats), cluster)  # one row per cluster
     square = sum(((F.col(f"x{i}") - F.col(f"m{i}")) ** 2 for i in range(len(xs))), F.lit(0.0))
-    rows = both.groupBy(cluster, "n", *[f"m{i}" for i in range(len(xs))]).agg(F.sum(square).alias("ss"), F.avg(F.sqrt(square)).alias("dist")).collect()
+    rows = both.groupBy(cluster, "n", *[f"m{i}" for i in range(len(xs))]).agg(F.sum(square).alias("ss"), F.avg(F.sqrt(square)).alias("dist")).limit(MAX_CLUSTERS + 1).collect()
     k = len(rows)
+    if k > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
     n = np.array([r["n"] for r in rows], float)
     m = np.array([[r[f"m{i}"] for i in range(len(xs))] for r in rows])
     within, dist = sum(r["ss"] for r in rows), np.array([r["dist"] for r in rows])

@@ -42,9 +42,10 @@ def roll_up(df: DataFrame, date: str, values: Sequence[str], keys: Sequence[str]
 def infer_frequency(df: DataFrame, date: str = "ds", keys: Sequence[str] = ()) -> str:
     """Most common step between neighbouring dates as a frequency letter, daily when unclear.
 
-    Works on distinct dates per key, so a group is bounded by the calendar.
+    Works on distinct hours per key, so a group is bounded by the calendar.
     """
-    days = df.select(*keys, micros(date).alias("_t")).distinct()
+    hours = F.date_trunc("hour", F.col(date).cast("timestamp"))
+    days = df.select(*keys, micros(hours).alias("_t")).distinct()
     step = F.col("_t") - F.lag("_t").over(Window.partitionBy(*keys).orderBy("_t"))
     top = days.select(step.alias("s")).where(F.col("s").isNotNull()).groupBy("s").count().orderBy(F.desc("count"), "s").limit(1).collect()
     if not top:
