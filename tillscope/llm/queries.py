@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm.common import table
 from tillscope.llm.exact_dedup import exact_dedup
+from tillscope.llm.quality import BASE_RULES, CURRENT, POLICIES, RULES, mask_of, quality_rules
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,36 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+_WORD = r"[^\x20\x09-\x0D]"
+_FAILED = " + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(RULES.values()))
+
+OP7_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w FROM documents
+), windows AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i], w[i + 1], w[i + 2]) AS n FROM d, unnest(range(1, len(w) - 1)) AS u(i)
+), covered AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n > 1) GROUP BY rid
+), lines AS (
+  SELECT rid, count(*) AS n, count(*) - count(DISTINCT l) AS again
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '{_WORD}') GROUP BY rid
+), measured AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(lines.again, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(lines.n, 0)::BIGINT AS n_lines,
+         len(list_filter(w, lambda x: strlen(x) > 1 AND regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]')))::BIGINT AS n_capital_words,
+         len(list_distinct(w))::BIGINT AS n_distinct_words
+  FROM d LEFT JOIN covered USING (rid) LEFT JOIN lines USING (rid)
+), judged AS (SELECT *, ({_FAILED})::BIGINT AS failed FROM measured)
+SELECT *, failed & {mask_of(BASE_RULES)} <> 0 AS base_failed, failed & {mask_of(BASE_RULES) | POLICIES[CURRENT].mask} = 0 AS kept FROM judged
+"""
+
 QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op7_quality_rules": (op7_quality_rules, OP7_SQL),
 }
