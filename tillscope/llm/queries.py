@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillscope.llm.common import table
 from tillscope.llm.exact_dedup import exact_dedup
+from tillscope.llm.language import language_id
 from tillscope.llm.quality import BASE_RULES, CURRENT, POLICIES, RULES, mask_of, quality_rules
 
 
@@ -48,7 +49,13 @@ WITH d AS (
 SELECT *, failed & {mask_of(BASE_RULES)} <> 0 AS base_failed, failed & {mask_of(BASE_RULES) | POLICIES[CURRENT].mask} = 0 AS kept FROM judged
 """
 
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
+    "op9_language_id": (op9_language_id, None),
 }
