@@ -8,6 +8,7 @@ from tillscope.llm.common import table
 from tillscope.llm.exact_dedup import exact_dedup
 from tillscope.llm.language import language_id
 from tillscope.llm.quality import BASE_RULES, CURRENT, POLICIES, RULES, mask_of, quality_rules
+from tillscope.llm.simhash import near_dedup
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,10 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
+    "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
     "op9_language_id": (op9_language_id, None),
 }
