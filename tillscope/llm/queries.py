@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tillscope.llm.bpe import encoded
 from tillscope.llm.common import table
 from tillscope.llm.exact_dedup import exact_dedup
 from tillscope.llm.language import language_id
 from tillscope.llm.quality import BASE_RULES, CURRENT, POLICIES, RULES, mask_of, quality_rules
 from tillscope.llm.simhash import near_dedup
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -59,9 +63,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
     "op9_language_id": (op9_language_id, None),
+    "op10_byte_bpe": (op10_byte_bpe, None),
 }
