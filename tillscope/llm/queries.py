@@ -9,6 +9,7 @@ from tillscope.llm.bpe import encoded
 from tillscope.llm.common import table
 from tillscope.llm.exact_dedup import exact_dedup
 from tillscope.llm.language import language_id
+from tillscope.llm.mixing import mixture
 from tillscope.llm.quality import BASE_RULES, CURRENT, POLICIES, RULES, mask_of, quality_rules
 from tillscope.llm.simhash import near_dedup
 
@@ -30,6 +31,42 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2)
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2 * sum(size)::BIGINT AS cap,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w
+  FROM d GROUP BY source
+), filled AS (
+  SELECT *, w * ((1.5::DOUBLE * sum(source_size) OVER ()::DOUBLE - coalesce(sum(cap) OVER before, 0)::DOUBLE) / sum(w) OVER rest::DOUBLE) > cap AS above
+  FROM s WINDOW before AS (ORDER BY cap / w::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                rest AS (ORDER BY cap / w::DOUBLE, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), level AS (
+  SELECT (1.5::DOUBLE * sum(source_size)::DOUBLE - coalesce(sum(cap) FILTER (above), 0)::DOUBLE) / sum(w) FILTER (NOT above)::DOUBLE AS t FROM filled
+), goals AS (
+  SELECT source, source_size, CASE WHEN above THEN cap::DOUBLE ELSE w * t END AS target,
+         CASE WHEN source_size = 0 THEN 0 ELSE (CASE WHEN above THEN cap::DOUBLE ELSE w * t END) / source_size END AS rate
+  FROM filled, level
+), drawn AS (
+  SELECT doc_id, size, source, source_size, target, rate, rate - floor(rate) AS inclusion,
+         (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u
+  FROM d JOIN goals USING (source)
+), ranked AS (
+  SELECT *, CASE WHEN inclusion > 0 THEN (u / (1 - u)) / (inclusion / (1 - inclusion)) END AS rank FROM drawn
+), cut AS (
+  SELECT *, inclusion > 0 AND size > 0
+            AND sum(size) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id)::DOUBLE - size / 2.0::DOUBLE <= target - floor(rate) * source_size AS taken_once
+  FROM ranked
+)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN taken_once THEN 1 ELSE 0 END))::BIGINT AS taken FROM cut
+"""
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -71,6 +108,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
+    "op4_source_mixing": (op4_source_mixing, OP4_SQL),
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
