@@ -11,23 +11,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tillscope.llm.common import fan, materialize
+from tillscope.llm.common import bitmap, fan, materialize, with_hit
 
 BITMAP_BITS = 1 << 26  # 8 MB whatever the input; when full, more texts are shuffled and the result is the same
-CELL_BITS = 32_768
-
-
-def _bit(hashed: Column, bits: int) -> Column:
-    return F.pmod(hashed, F.lit(bits))
 
 
 def _possible(rows: DataFrame, bits: int) -> DataFrame:
-    """One row per cell of the bitmap of text hashes that occur more than once."""
+    """The bitmap of text hashes that occur more than once."""
     repeated = rows.groupBy(F.xxhash64("_text").alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    bit = _bit(F.col("_h"), bits)
-    return repeated.groupBy(F.floor(bit / CELL_BITS).alias("_cell")).agg(F.bitmap_construct_agg(F.pmod(bit, F.lit(CELL_BITS))).alias("_bits"))
+    return bitmap(repeated, "_h", bits)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITMAP_BITS, salts: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -46,12 +40,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
         F.struct(*[F.col(c) for c in carry]).alias("carried") if carry else F.lit(None).cast("string").alias("carried"),
     )
-    bit = _bit(F.xxhash64("_text"), bits)
-    marked = rows.join(F.broadcast(_possible(rows, bits)), F.floor(bit / CELL_BITS) == F.col("_cell"), "left")
-    place = F.pmod(bit, F.lit(CELL_BITS))
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1, F.lit(False))
-    marked = marked.withColumn("_hit", hit).withColumn("_digest", F.sha2("_text", 256)).drop("_cell", "_bits")
+    marked = with_hit(rows, F.xxhash64("_text"), _possible(rows, bits), bits).withColumn("_digest", F.sha2("_text", 256))
 
     alone = marked.where(~F.col("_hit")).select(
         F.col("_id").alias(id_col), F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("_digest").alias("text_sha256"), "carried"
