@@ -9,6 +9,7 @@ from tillscope.llm.bpe import encoded
 from tillscope.llm.common import table
 from tillscope.llm.exact_dedup import exact_dedup
 from tillscope.llm.language import language_id
+from tillscope.llm.line_dedup import line_dedup
 from tillscope.llm.mixing import mixture
 from tillscope.llm.quality import BASE_RULES, CURRENT, POLICIES, RULES, mask_of, quality_rules
 from tillscope.llm.simhash import near_dedup
@@ -68,6 +69,10 @@ SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN taken
 """
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_dedup(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -115,6 +120,7 @@ QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
     "op4_source_mixing": (op4_source_mixing, OP4_SQL),
+    "op5_line_dedup": (op5_line_dedup, None),
     "op6_suffix_array_dedup": (op6_suffix_array_dedup, None),
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
     "op9_language_id": (op9_language_id, None),
