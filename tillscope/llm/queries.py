@@ -14,6 +14,7 @@ from tillscope.llm.mixing import mixture
 from tillscope.llm.quality import BASE_RULES, CURRENT, POLICIES, RULES, mask_of, quality_rules
 from tillscope.llm.simhash import near_dedup
 from tillscope.llm.suffix_dedup import suffix_dedup
+from tillscope.llm.toxicity import toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -107,6 +108,10 @@ SELECT *, failed & {mask_of(BASE_RULES)} <> 0 AS base_failed, failed & {mask_of(
 """
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
@@ -123,6 +128,7 @@ QUERIES: dict[str, tuple] = {
     "op5_line_dedup": (op5_line_dedup, None),
     "op6_suffix_array_dedup": (op6_suffix_array_dedup, None),
     "op7_quality_rules": (op7_quality_rules, OP7_SQL),
+    "op8_toxicity": (op8_toxicity, None),
     "op9_language_id": (op9_language_id, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
 }
