@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillscope.llm.bpe import encoded
 from tillscope.llm.common import table
 from tillscope.llm.exact_dedup import exact_dedup
+from tillscope.llm.html_extract import main_text
 from tillscope.llm.language import language_id
 from tillscope.llm.line_dedup import line_dedup
 from tillscope.llm.mixing import mixture
@@ -34,6 +35,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2)
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
@@ -124,6 +129,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
+    "op3_html_extraction": (op3_html_extraction, None),
     "op4_source_mixing": (op4_source_mixing, OP4_SQL),
     "op5_line_dedup": (op5_line_dedup, None),
     "op6_suffix_array_dedup": (op6_suffix_array_dedup, None),

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillscope.llm import suffix_sort as ss
 from tillscope.llm.common import bitmap, materialize, prepare, text_bytes, with_hit
@@ -67,6 +67,13 @@ def _home(doc: np.ndarray, buckets: int) -> np.ndarray:
     return doc.astype(np.int64) % buckets
 
 
+def _within(anchor: np.ndarray, space: np.ndarray) -> np.ndarray:
+    """Anchor ids of a space of their own; space 0 leaves them as they are."""
+    if not space.any():
+        return anchor
+    return np.where(space == 0, anchor, ss.mix(anchor ^ ss.mix(space.astype(np.uint64))) >> np.uint64(64 - ss.ANCHOR_BITS))
+
+
 def _prime(least: int) -> int:
     """A prime number of buckets deals out ids of any step evenly."""
     n = max(2, least)
@@ -108,7 +115,7 @@ def buffers(texts: Iterator[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np
 
 
 def _offer(buckets: int):
-    """Batches (_doc, _text) to packed rows: anchors by range (kind 0), and shared anchors of further documents (kind 1)."""
+    """Batches (_doc, _space, _text) to packed rows: anchors by range (kind 0), and shared anchors of further documents (kind 1)."""
 
     def flush(docs: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
         doc, anchor = np.concatenate(docs), np.concatenate(ids)
@@ -144,11 +151,12 @@ def _offer(buckets: int):
         ids: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            names = np.array(batch.column(0).to_pylist(), np.int64)
-            for raw, starts, ends, number, _ in buffers(batch.column(1).to_pylist()):
+            names, spaces = (np.array(batch.column(i).to_pylist(), np.int64) for i in (0, 1))
+            for raw, starts, ends, number, _ in buffers(batch.column(2).to_pylist()):
                 head, _, _, anchor = ss.anchors(raw, starts, ends)
-                docs.append(names[number[np.searchsorted(ends, head, "right")]])
-                ids.append(anchor)
+                where = number[np.searchsorted(ends, head, "right")]
+                docs.append(names[where])
+                ids.append(_within(anchor, spaces[where]))
                 size += len(raw)
                 if size >= OFFER_BYTES:
                     yield flush(docs, ids) if any(map(len, ids)) else _batch([], [], [])
@@ -234,7 +242,7 @@ def _marks(doc: np.ndarray, text: np.ndarray, place: np.ndarray) -> bytes:
     return _pack(doc[begin], text[begin], place[begin], number)
 
 
-def _extract(buckets: int, shared):
+def _extract(buckets: int, shared, judge):
     """Documents of a bucket and their answers to marks (kind 1) and to first windows with their bytes (kind 0)."""
 
     def run(_key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -251,10 +259,12 @@ def _extract(buckets: int, shared):
         known = np.sort(ss.mix(doc ^ (anchor * np.uint64(ss.BASE))))
         names = np.array(left.column("_doc").to_pylist(), np.int64)
         tags = np.array(left.column("_tag").to_pylist(), np.int64)
+        spaces = np.array(left.column("_space").to_pylist(), np.int64)
         out: list[pa.RecordBatch] = []
         for raw, starts, ends, number, offset in buffers(left.column("_text").to_pylist()):
             head, count, place, found = ss.anchors(raw, starts, ends)
             piece = np.searchsorted(ends, head, "right")
+            found = _within(found, spaces[number[piece]])
             pair = ss.mix(names[number[piece]].astype(np.uint64) ^ (found * np.uint64(ss.BASE)))
             at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
             held = known[at] == pair
@@ -264,18 +274,18 @@ def _extract(buckets: int, shared):
             window, of = _windows(head, count)
             owner = names[number[piece]][of]
             order, first = ss.deep_shallow(raw, window, found[of] * np.uint64(64) + (place[of] - window).astype(np.uint64))
-            again, kept = ss.repeats(owner, order, first)
+            again, kept = judge(owner, order, first)
             if len(again):
                 where = number[piece[of[again]]]
                 packed = _marks(names[where].astype(np.uint64), tags[where].astype(np.uint64), (window[again] - starts[piece[of[again]]] + offset[piece[of[again]]]).astype(np.uint64))
                 out.append(_batch([buckets], [1], [packed]))
-            out.append(_send(raw, np.sort(kept), window, of, found, place, piece, starts, number, offset, names, tags, common, buckets))
+            out.append(_send(raw, np.sort(kept), window, of, found, place, piece, starts, number, offset, names, tags, spaces, common, buckets))
         return pa.Table.from_batches(out, schema=_batch([], [], []).schema)
 
     return run
 
 
-def _send(raw, kept, window, of, found, place, piece, starts, number, offset, names, tags, common, buckets) -> pa.RecordBatch:
+def _send(raw, kept, window, of, found, place, piece, starts, number, offset, names, tags, spaces, common, buckets) -> pa.RecordBatch:
     """First windows as byte runs by bucket: runs of one anchor, or single windows where the anchor is common."""
     window, of = window[kept], of[kept]
     frequent = np.isin(found[of], common) if len(common) else np.zeros(len(of), bool)
@@ -286,7 +296,8 @@ def _send(raw, kept, window, of, found, place, piece, starts, number, offset, na
     window, of, frequent = window[begin], of[begin], frequent[begin]
     key, ahead = found[of].copy(), (place[of] - window).astype(np.uint64)
     if frequent.any():
-        key[frequent] = _whole_hash(ss.characters(raw), window[frequent]) >> np.uint64(64 - ss.ANCHOR_BITS)
+        whole = _whole_hash(ss.characters(raw), window[frequent]) >> np.uint64(64 - ss.ANCHOR_BITS)
+        key[frequent] = _within(whole, spaces[number[piece[of[frequent]]]])
         ahead[frequent] = ss.REACH  # windows dealt by their hash are never next to the others
     bucket = _spread(key, buckets)
     order = np.argsort(bucket, kind="stable")
@@ -305,25 +316,29 @@ def _send(raw, kept, window, of, found, place, piece, starts, number, offset, na
     return _batch(keys, [0] * len(keys), data)
 
 
-def _settle(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _settle(judge):
     """First windows of a bucket to marks."""
-    numbers, texts = [], []
-    for batch in batches:
-        for data in batch.column(batch.schema.names.index("data")).to_pylist():
-            cut = 4 + int.from_bytes(data[:4], "little")
-            numbers.append(_unpack(data[4:cut]))
-            texts.append(zstandard.ZstdDecompressor().decompress(data[cut:]))
-    if not numbers:
-        return
-    anchor, ahead, count, doc, tag, offset = (np.concatenate(c) for c in zip(*numbers))
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    size = count.astype(np.int64) + ss.LENGTH - 1
-    window, of = _windows(np.cumsum(size) - size, count.astype(np.int64))
-    step = window - (np.cumsum(size) - size)[of]
-    order, head = ss.deep_shallow(raw, window, anchor[of] * np.uint64(64) + ahead[of] - step.astype(np.uint64))
-    again, _ = ss.repeats(doc.astype(np.int64)[of], order, head)
-    if len(again):
-        yield _batch([0], [1], [_marks(doc[of[again]], tag[of[again]], offset[of[again]] + step[again].astype(np.uint64))])
+
+    def run(_key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, texts = [], []
+        for batch in batches:
+            for data in batch.column(batch.schema.names.index("data")).to_pylist():
+                cut = 4 + int.from_bytes(data[:4], "little")
+                numbers.append(_unpack(data[4:cut]))
+                texts.append(zstandard.ZstdDecompressor().decompress(data[cut:]))
+        if not numbers:
+            return
+        anchor, ahead, count, doc, tag, offset = (np.concatenate(c) for c in zip(*numbers))
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        size = count.astype(np.int64) + ss.LENGTH - 1
+        window, of = _windows(np.cumsum(size) - size, count.astype(np.int64))
+        step = window - (np.cumsum(size) - size)[of]
+        order, head = ss.deep_shallow(raw, window, anchor[of] * np.uint64(64) + ahead[of] - step.astype(np.uint64))
+        again, _ = judge(doc.astype(np.int64)[of], order, head)
+        if len(again):
+            yield _batch([0], [1], [_marks(doc[of[again]], tag[of[again]], offset[of[again]] + step[again].astype(np.uint64))])
+
+    return run
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,39 +368,53 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
-    """Per row: id, n_bytes, the bytes that are kept, and the removed spans (begin, end) in the input bytes.
+def repeated(texts: DataFrame, buckets: int | None = None, every: bool = False) -> DataFrame:
+    """Ranges of window starts (_doc, _tag, _first, _number as arrays) whose 50-byte string is repeated.
 
-    A byte goes if a 50-byte string that covers it also starts in a document with a smaller id. A null
-    text is empty; texts under 50 bytes stay whole. Null ids come after all others, ordered by a hash
-    of their text. Rows that share an id are one document: they remove nothing from each other. An
-    empty table gives no rows. Only id and text are read. ``docs`` is read three times and must give
-    the same rows each time.
+    ``texts`` holds _doc, _tag, _space and _text (bytes); strings are compared inside a space. A window is
+    marked if its string also starts in a smaller document or, with ``every``, in any other document.
     """
-    spark = prepare(docs.sparkSession)
-    tag = F.xxhash64("_text")
-    rows = docs.select(F.col(id_col).alias("_id"), text_bytes(text_col).alias("_text"))
-    doc = F.coalesce(F.col("_id").cast("long"), F.shiftrightunsigned(tag, 2).bitwiseOR(F.lit(1 << 62)))
-    rows = rows.withColumn("_doc", doc).withColumn("_tag", tag)
+    spark = prepare(texts.sparkSession)
     if buckets is None:
-        total = rows.agg(F.sum(F.length("_text").cast("long"))).first()[0] or 0
+        total = texts.agg(F.sum(F.length("_text").cast("long"))).first()[0] or 0
         buckets = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
     buckets = _prime(buckets)
-    long = rows.where(F.length("_text") >= ss.LENGTH)
+    judge = ss.common if every else ss.repeats
+    long = texts.where(F.length("_text") >= ss.LENGTH)
 
-    offers = long.select("_doc", "_text").mapInArrow(_offer(buckets), _PACKED)
+    offers = long.select("_doc", "_space", "_text").mapInArrow(_offer(buckets), _PACKED)
     answers = materialize(offers.groupBy("key").applyInArrow(_answer(buckets), _PACKED))
     weights = materialize(answers.mapInArrow(_weights, "anchor long, weight long").groupBy("anchor").agg(F.max("weight").alias("weight")))
     limit = max(COMMON_LEAST, (weights.agg(F.sum("weight")).first()[0] or 0) // COMMON_PARTS)
     # at most COMMON_PARTS anchors reach the limit
     common = np.sort(np.array([r[0] for r in weights.where(F.col("weight") >= limit).select("anchor").toLocalIterator()], np.uint64))
 
-    texts = long.select(F.pmod("_doc", F.lit(buckets)).cast("int").alias("key"), "_doc", "_tag", "_text")
-    sent = texts.groupBy("key").cogroup(answers.select("key", "data").groupBy("key")).applyInArrow(_extract(buckets, spark.sparkContext.broadcast(common)), _PACKED)
-    sent = materialize(sent)
-    settled = sent.where("kind = 0").groupBy("key").applyInArrow(_settle, _PACKED)
+    placed = long.select(F.pmod("_doc", F.lit(buckets)).cast("int").alias("key"), "_doc", "_tag", "_space", "_text")
+    asked = answers.select("key", "data").groupBy("key")
+    sent = materialize(placed.groupBy("key").cogroup(asked).applyInArrow(_extract(buckets, spark.sparkContext.broadcast(common), judge), _PACKED))
+    settled = sent.where("kind = 0").groupBy("key").applyInArrow(_settle(judge), _PACKED)
     marks = sent.where("kind = 1").select("data").unionByName(settled.select("data")).mapInArrow(_ranges, "_doc long, _tag long, _first long, _number long")
-    marked = materialize(marks.groupBy("_doc", "_tag").agg(F.collect_list("_first").alias("_first"), F.collect_list("_number").alias("_number")))
+    return materialize(marks.groupBy("_doc", "_tag").agg(F.collect_list("_first").alias("_first"), F.collect_list("_number").alias("_number")))
+
+
+def document_key(identity: Column, tag: Column) -> Column:
+    """The id as a number; null ids come after all others, ordered by a hash of the text."""
+    return F.coalesce(identity.cast("long"), F.shiftrightunsigned(tag, 2).bitwiseOR(F.lit(1 << 62)))
+
+
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
+    """Per row: id, n_bytes, the bytes that are kept, and the removed spans (begin, end) in the input bytes.
+
+    A byte goes if a 50-byte string that covers it also starts in a document with a smaller id. A null
+    text is empty; texts under 50 bytes stay whole. Null ids come after all others, ordered by a hash
+    of their text. Rows that share an id are one document: they remove nothing from each other. An
+    empty table gives no rows. Only id and text are read. ``docs`` is read three times and must give
+    the same rows each time.
+    """
+    prepare(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("_id"), text_bytes(text_col).alias("_text")).withColumn("_tag", F.xxhash64("_text"))
+    rows = rows.withColumn("_doc", document_key(F.col("_id"), F.col("_tag")))
+    marked = repeated(rows.select("_doc", "_tag", F.lit(0).cast("long").alias("_space"), "_text"), buckets)
 
     cells = bitmap(marked.select(F.xxhash64("_doc", "_tag").alias("_h")), "_h", FIRST_BITS)
     flagged = with_hit(rows, F.xxhash64("_doc", "_tag"), cells, FIRST_BITS)

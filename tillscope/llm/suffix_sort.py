@@ -192,3 +192,15 @@ def repeats(doc: np.ndarray, order: np.ndarray, head: np.ndarray) -> tuple[np.nd
     least = np.minimum.reduceat(ids, begin)
     again = ids > least[np.cumsum(head) - 1]
     return order[again], order[~again]
+
+
+def common(doc: np.ndarray, order: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows whose string starts in two documents or more, and those that must be compared further:
+    one window for each such string, and all windows of the other strings."""
+    if not len(order):
+        none = np.zeros(0, np.int64)
+        return none, none
+    ids = doc[order]
+    begin = np.flatnonzero(head)
+    several = (np.minimum.reduceat(ids, begin) != np.maximum.reduceat(ids, begin))[np.cumsum(head) - 1]
+    return order[several], order[~several | head]
