@@ -81,7 +81,8 @@ def anchors(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     after = np.cumsum(valid)
     bounds = np.concatenate((head, [count]))
     number = after[bounds[1:] - 1] - after[bounds[:-1]] + 1
-    return head, number, (best[head] & low).astype(np.int64), best[head] >> np.uint64(POSITION_BITS)
+    # least hashes crowd at the low end; mixed once more, ids are even over their range
+    return head, number, (best[head] & low).astype(np.int64), mix(best[head] >> np.uint64(POSITION_BITS)) >> np.uint64(64 - ANCHOR_BITS)
 
 
 def characters(raw: np.ndarray) -> np.ndarray:
