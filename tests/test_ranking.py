@@ -68,15 +68,23 @@ def test_lookup_spreads_hot_keys(spark, frame):
     assert np.allclose(out.m, out.g.map(expect))
 
 
-@pytest.mark.parametrize("limit", [200_000, 40])
-def test_quantiles_of_skewed_and_tiny_columns(spark, frame, limit, monkeypatch):
-    monkeypatch.setattr(ranking, "MAX_VALUES", limit)
+@pytest.mark.parametrize("cells", [2048, 3])
+def test_quantiles_of_skewed_and_tiny_columns(spark, frame, cells, monkeypatch):
+    monkeypatch.setattr(ranking, "CELLS", cells)
     rng = np.random.default_rng(9)
     pdf = pd.DataFrame({"u": rng.normal(size=5000), "heavy": np.where(rng.random(5000) < 0.6, 3.0, rng.integers(0, 9, 5000).astype(float)), "flat": 1.0})
+    pdf["thin"] = np.concatenate((np.zeros(2300), np.full(2300, 1e6), rng.random(400) * 1e6))  # two heavy values with a thin part between
+    pdf["wide"] = 10.0 ** rng.uniform(-250, 250, 5000) * rng.choice([-1, 1], 5000)
+    pdf["tiny"] = rng.choice([0.0, 5e-324, 1e-323], 5000)
     probs = [0.0, 0.01, 0.2, 0.25, 0.5, 0.6, 0.95, 1.0]
     got = ranking.column_quantiles(spark.createDataFrame(pdf), list(pdf), probs)
     for c in pdf:
         assert np.allclose(got[c], pdf[c].quantile(probs)), c
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    if cells == 2048:
+        ranking.column_quantiles(spark.createDataFrame(pdf[["u", "heavy", "flat", "thin"]]).repartition(3), ["u", "heavy", "flat", "thin"], probs)
+        rounds = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before
+        assert len(rounds) <= 12, len(rounds)  # a few rounds whatever the columns and levels; the adaptive plan takes a job for each exchange
     small = spark.createDataFrame([(1.0, None), (2.0, None), (10.0, None)], "a double, b double")
     assert ranking.column_quantiles(small, ["a", "b"], [0.25, 0.5]) == {"a": [1.5, 2.0], "b": [None, None]}
 

@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Fitting reads a bounded sample of labelled rows (``MAX_EXAMPLES``). Terms that say something about the
-label (chi-square over the sample, at most ``MAX_TERMS``) make up the vectors. The index cuts the
+label (chi-square over the sample and its size, at most ``MAX_TERMS``) make up the vectors. The index cuts the
 examples in blocks and keeps, per term, its postings and its largest weight in each block: the sum of
 these maxima bounds every cosine of a block, so blocks are visited from the best bound down until no
 block can hold a nearer example. The nearest vote by their cosine; an isotonic fit of leave-one-out
@@ -23,7 +23,9 @@ from tillscope.llm.common import prepare, slices, text_bytes
 
 MAX_EXAMPLES = 20_000  # labelled rows that are fitted on
 MAX_TERMS = 20_000
-LEAST_CHI2 = 24.0
+LEAST_CHI2 = 36.0  # a term of a few rows passes only if all of them agree
+LEAST_EFFECT = 0.004  # chi-square over the rows of the sample
+LOT = 16  # blocks that are summed together
 BLOCK = 128
 NEAREST = 15
 THRESHOLD = 0.7
@@ -31,8 +33,8 @@ PIECE = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def term_counts(text: bytes) -> Counter:
-    """Lower-case words of a whole text; long texts are read in pieces that end at white space."""
+def term_counts(text: bytes, among: dict[str, int] | None = None) -> Counter:
+    """Lower-case words of a whole text (of ``among`` only); long texts are read in pieces that end between words."""
     found: Counter = Counter()
     plain = text.decode("utf-8", "replace")
     begin = 0
@@ -40,7 +42,8 @@ def term_counts(text: bytes) -> Counter:
         end = min(begin + PIECE, len(plain))
         while end < len(plain) and plain[end].isalpha() and plain[end - 1].isalpha():
             end += 1
-        found.update(_WORD.findall(plain[begin:end].lower()))
+        words = _WORD.findall(plain[begin:end].lower())
+        found.update(words if among is None else filter(among.__contains__, words))
         begin = end
     return found
 
@@ -64,7 +67,7 @@ class Index:
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of a text, of length one."""
-        known = [(i, n) for t, n in counts.items() if (i := self.terms.get(t)) is not None]
+        known = [(self.terms[t], n) for t, n in counts.items() if t in self.terms]
         if not known:
             return np.zeros(0, np.int64), np.zeros(0)
         at, n = np.array(sorted(known), np.int64).T
@@ -72,22 +75,23 @@ class Index:
         return at, value / np.sqrt((value * value).sum())
 
     def nearest(self, at: np.ndarray, value: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest cosine above zero (ties: the earlier example), and their cosines."""
+        """The k examples of the largest cosine above zero and their cosines; of equal ones those met first."""
         bound = value @ self.most[at]
         visit = np.argsort(-bound, kind="stable")
+        visit = visit[: np.count_nonzero(bound > 0)]
+        postings = [(self.example[a:b], v * self.weight[a:b]) for a, b, v in zip(self.start[at], self.start[at + 1], value)]
         found, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for lot in range(0, len(visit), 8):
-            blocks = visit[lot : lot + 8]
-            blocks = blocks[bound[blocks] > 0]
-            if not len(blocks) or (len(cosine) >= k and bound[blocks[0]] < cosine[k - 1]):
+        for lot in range(0, len(visit), LOT):
+            blocks = visit[lot : lot + LOT]
+            if len(cosine) >= k and bound[blocks[0]] <= cosine[k - 1] + 1e-12:
                 break
+            row_of = np.full(len(bound), -1)
+            row_of[blocks] = np.arange(len(blocks))
             sums = np.zeros((len(blocks), BLOCK))
-            for t, v in zip(at.tolist(), value.tolist()):
-                ids = self.example[self.start[t] : self.start[t + 1]]
-                low, high = np.searchsorted(ids, blocks * BLOCK), np.searchsorted(ids, (blocks + 1) * BLOCK)
-                for row, (a, b) in enumerate(zip(low.tolist(), high.tolist())):
-                    if b > a:
-                        sums[row, ids[a:b] - blocks[row] * BLOCK] += v * self.weight[self.start[t] + a : self.start[t] + b]
+            for ids, part in postings:
+                row = row_of[ids // BLOCK]
+                here = row >= 0
+                sums[row[here], ids[here] % BLOCK] += part[here]
             row, cell = np.nonzero(sums > 1e-12)
             found, cosine = np.concatenate((found, blocks[row] * BLOCK + cell)), np.concatenate((cosine, sums[row, cell]))
             order = np.lexsort((found, -cosine))[:k]
@@ -104,7 +108,7 @@ class Index:
         return float((hits / np.maximum(sizes, 1) * weight).sum() / weight.sum()) if weight.any() else None
 
     def score(self, text: bytes) -> tuple[float, np.ndarray, np.ndarray]:
-        at, value = self.vector(term_counts(text))
+        at, value = self.vector(term_counts(text, self.terms))
         if len(at):
             found, cosine = self.nearest(at, value)
             if len(found):
@@ -140,7 +144,7 @@ def _keep_terms(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = shared.value
         for batch in batches:
-            rows = [sorted((terms[t], n) for t, n in term_counts(x).items() if t in terms) for x in batch.column(2).to_pylist()]
+            rows = [sorted((terms[t], n) for t, n in term_counts(x, terms).items()) for x in batch.column(2).to_pylist()]
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([[t for t, _ in r] for r in rows], kind), pa.array([[n for _, n in r] for r in rows], kind)], ["id", "label", "terms", "counts"]
@@ -172,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     cross = a * F.lit(float(n1)) - b * F.lit(float(n0))
     spread = (a + b) * (F.lit(total) - a - b) * float(max(n0, 1)) * float(max(n1, 1))
     chosen = counted.where("a + b >= 3").withColumn("chi2", F.when(spread > 0, F.lit(total) * cross * cross / spread).otherwise(F.lit(0.0)))
-    chosen = chosen.where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect()
+    chosen = chosen.where(F.col("chi2") >= max(LEAST_CHI2, LEAST_EFFECT * total)).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect()
     terms = {r["term"]: i for i, r in enumerate(chosen)}
     idf = np.array([np.log((1 + total) / (1 + r["a"] + r["b"])) + 1 for r in chosen])
 

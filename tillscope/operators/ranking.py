@@ -18,8 +18,8 @@ from tillscope.functions.columns import clean_double
 from tillscope.session import bucket_count
 
 HOT_KEY_ROWS = 1_000_000
-SKETCH_ERROR = 1e-3
-MAX_VALUES = 200_000
+CELLS = 2048
+LOG_MOST = 710.0  # logarithm of the largest double, rounded up
 
 
 def range_edges(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
@@ -157,84 +157,76 @@ def long_ranges(df: DataFrame, keep: Sequence[str], columns: Sequence[str], buck
     )
 
 
-def _collect_values(base: DataFrame, spans: list[tuple[str, float, float]]) -> list[list[tuple[float, int]] | None]:
-    """Distinct values with counts inside each span; None where there are more than the limit."""
-    items = F.array(*[F.when(F.col(c).between(lo, hi), F.struct(F.lit(i).alias("i"), F.col(c).alias("v"))) for i, (c, lo, hi) in enumerate(spans)])
-    inside = base.select(F.explode(F.array_compact(items)).alias("_s")).groupBy("_s.i", "_s.v").agg(F.count(F.lit(1)).alias("k"))
-    rows = inside.limit(MAX_VALUES + 1).collect()
-    if len(rows) > MAX_VALUES and len(spans) > 1:
-        return [_collect_values(base, [one])[0] for one in spans]
-    if len(rows) > MAX_VALUES:
-        return [None]
-    found: list[list[tuple[float, int]]] = [[] for _ in spans]
-    for r in rows:
-        found[r["i"]].append((r["v"], r["k"]))
-    return [sorted(f) for f in found]
+def _cell(value: Column, low: float, high: float) -> Column:
+    """Which of CELLS equal parts of [low, high] holds the value; monotone, the two ends in the first and the last."""
+    if math.isinf(low) or math.isinf(high):
+        return F.when(value == -math.inf, 0).when(value == math.inf, CELLS - 1).otherwise(1)
+    if not high / 2 - low / 2 > 0:
+        return F.when(value < high, 0).otherwise(1)
+    share = (value / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
+    return F.least(F.floor(share * CELLS), F.lit(CELLS - 1)).cast("int")
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], error: float = SKETCH_ERROR) -> dict[str, list[float | None]]:
+def _wide_cell(value: Column) -> Column:
+    """Cells over all numbers, evenly spaced in their logarithm."""
+    scaled = F.signum(value) * F.log1p(F.abs(value)) / F.lit(2 * LOG_MOST) + F.lit(0.5)
+    return F.least(F.floor(scaled * CELLS), F.lit(CELLS - 1)).cast("int")
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
     """Exact, linearly interpolated global quantiles of several columns as plain numbers.
 
-    A sketch brackets each quantile, one aggregate counts what lies below the brackets, and only the
-    distinct values inside them are looked at. A bracket that still holds many values is narrowed
-    again. No step shuffles the column, and what reaches the driver is limited.
+    Every round is one aggregate for all columns and levels: it counts the values of each open
+    bracket in CELLS parts, with the least and the largest value of each part. The part that holds a
+    wanted position is the next bracket, from its least to its largest value, until they are equal.
+    A bracket always splits, so heavy values, wherever they lie, end it at once. No step shuffles the
+    column; the driver sees at most CELLS rows for each bracket.
     """
     columns, probabilities = list(columns), list(probabilities)
     base = df.select(*[clean_double(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    names = [f"c{i}" for i in range(len(columns))]
-    wanted = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-2 * error, 2 * error)})
-    sketch = {n: dict(zip(wanted, v)) for n, v in zip(names, base.approxQuantile(names, wanted, error))}
-    out: dict[tuple[str, float], float | None] = {}
-    spans: dict[tuple[str, float], tuple[float, float]] = {}
-    for n in names:
-        for p in probabilities:
-            if not sketch[n]:
-                out[n, p] = None
-            else:
-                spans[n, p] = (sketch[n][max(0.0, p - 2 * error)], sketch[n][min(1.0, p + 2 * error)])
-    while spans:
-        keys = list(spans)
-        counted = base.agg(
-            *[F.count(n).alias(f"n_{n}") for n in {k[0] for k in keys}],
-            *[F.count_if(F.col(k[0]) < spans[k][0]).alias(f"b{i}") for i, k in enumerate(keys)],
-            *[F.count_if(F.col(k[0]).between(*spans[k])).alias(f"i{i}") for i, k in enumerate(keys)],
-        ).first()
-        todo, after = [], {}
-        for i, k in enumerate(keys):
-            at = (counted[f"n_{k[0]}"] - 1) * k[1]
-            below, inside = counted[f"b{i}"], counted[f"i{i}"]
-            if not below <= math.floor(at) or not math.ceil(at) < below + inside:
-                after[k] = (-math.inf, math.inf)  # the sketch missed by a rank (tiny inputs)
-            elif spans[k][0] == spans[k][1]:
-                out[k] = spans[k][0]
-            else:
-                todo.append((k, at, below, inside))
-        narrow = [t for t in todo if t[3] > MAX_VALUES]
-        for k, at, below, inside in narrow:
-            low, high = spans[k]
-            part = base.where(F.col(k[0]).between(low, high))
-            rank = (at - below) / inside
-            ends = part.approxQuantile(k[0], [max(0.0, rank - 2 * error), min(1.0, rank + 2 * error)], error)
-            after[k] = (ends[0], ends[1])
-        # a span that did not shrink holds few, heavy values: read its distinct values
-        ready = [t for t in todo if t[3] <= MAX_VALUES or after.get(t[0]) == spans[t[0]]]
-        if ready:
-            values = _collect_values(base, [(t[0][0], *spans[t[0]]) for t in ready])
-            for (k, at, below, _), found in zip(ready, values):
-                after.pop(k, None)
-                if found is None:
-                    raise ValueError("a quantile bracket could not be narrowed")
-                picked = []
-                for position in (math.floor(at), math.ceil(at)):
-                    run = below
-                    for v, c in found:
-                        run += c
-                        if position < run:
-                            picked.append(v)
-                            break
-                out[k] = picked[0] + (picked[1] - picked[0]) * (at - math.floor(at))
-        spans = after
-    return {c: [out[n, p] for p in probabilities] for c, n in zip(columns, names)}
+    found: dict[tuple[int, int], float] = {}
+    totals = [0] * len(columns)
+    # bracket (column, low, high) -> wanted positions inside it; the first round has one for each column
+    brackets: dict[tuple[int, float | None, float | None], list[tuple[int, int]]] = {(i, None, None): [] for i in range(len(columns))}
+    first = True
+    while brackets:
+        keys = list(brackets)
+        items = []
+        for b, (i, low, high) in enumerate(keys):
+            value = F.col(f"c{i}")
+            inside = value.isNotNull() if first else value.between(low, high)
+            items.append(F.when(inside, F.struct(F.lit(b).alias("b"), (_wide_cell(value) if first else _cell(value, low, high)).alias("cell"), value.alias("v"))))
+        parts = base.select(F.explode(F.array_compact(F.array(*items))).alias("_p")).groupBy("_p.b", "_p.cell")
+        rows = parts.agg(F.count(F.lit(1)).alias("n"), F.min("_p.v").alias("low"), F.max("_p.v").alias("high")).collect()
+        cells: list[list] = [[] for _ in keys]
+        for r in rows:
+            cells[r["b"]].append(r)
+        following: dict[tuple[int, float | None, float | None], list[tuple[int, int]]] = {}
+        for key, held in zip(keys, cells):
+            held.sort(key=lambda r: r["cell"])
+            wanted = brackets[key]
+            if first:
+                totals[key[0]] = n = sum(r["n"] for r in held)
+                wanted = sorted({(w, w) for p in probabilities if n for w in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
+            run, at = 0, 0
+            for position, rank in wanted:  # the wanted position, and its place inside the bracket
+                while run + held[at]["n"] <= rank:
+                    run, at = run + held[at]["n"], at + 1
+                low, high = held[at]["low"], held[at]["high"]
+                if low == high:
+                    found[key[0], position] = low
+                else:
+                    following.setdefault((key[0], low, high), []).append((position, rank - run))
+        brackets, first = following, False
+
+    def quantile(i: int, p: float) -> float | None:
+        if not totals[i]:
+            return None
+        at = (totals[i] - 1) * p
+        low, high = found[i, math.floor(at)], found[i, math.ceil(at)]
+        return low + (high - low) * (at - math.floor(at))
+
+    return {c: [quantile(i, p) for p in probabilities] for i, c in enumerate(columns)}
 
 
 def _tie_key(df: DataFrame, tie: str) -> Column:
