@@ -1,3 +1,5 @@
+import datetime
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -130,3 +132,23 @@ def test_forecast_edge_cases(spark):
     m = {r.s: r for r in fm.forecast_metrics(df, ["s"]).collect()}
     assert m["z"].mape is None and m["z"].coverage_10pct == 0 and m["c"].r2 == 1.0 and m["z"].r2 == 0.0
     assert m["c"].mase is None and m["c"].tracking_signal is None
+
+
+def test_every_series_has_a_model_and_a_forecast(spark):
+    """Short, constant, gappy and empty series fall back instead of vanishing."""
+    rng = np.random.default_rng(4)
+    day = datetime.datetime(2024, 1, 1)
+    rows = [("long", day + datetime.timedelta(days=i), float(v)) for i, v in enumerate(rng.normal(size=100).cumsum())]
+    rows += [("gaps", day + datetime.timedelta(days=i), None if i % 9 == 0 else float(i % 7) + rng.normal()) for i in range(80)]
+    rows += [("short", day + datetime.timedelta(days=i), float(i)) for i in range(5)]
+    rows += [("one", day, 3.0), ("none", day, None), ("none", day + datetime.timedelta(days=1), None)]
+    df = spark.createDataFrame(rows, "series_id string, ds timestamp, y double")
+    model = arima.fit(df)
+    status = {r.series_id: r.status for r in model.collect()}
+    assert status == {"long": "fitted", "gaps": "fitted", "short": "mean", "one": "mean", "none": "mean"}
+    ahead = arima.forecast(df, model, 3).toPandas()
+    assert ahead.groupby("series_id").size().to_dict() == dict.fromkeys(status, 3) and ahead.yhat.notna().all()
+    assert (ahead[ahead.series_id == "short"].yhat == 2.0).all()
+    folds = arima.backtest(df, model, folds=2, rows_per_fold=20).toPandas()
+    assert set(folds.series_id) == {"long", "gaps", "short", "none"} and folds.predicted.notna().all()
+    assert set(arima.fit(df, period=7).toPandas().series_id) == set(status)

@@ -60,7 +60,7 @@ def test_forest_finds_planted_rows_and_round_trips(spark, planted, tmp_path):
     assert model.info(spark).first().n_estimators == 50
     assert forest.top_flagged(flagged, "id", 5).count() == 5
     lines = [r.line for r in forest.advice(flagged).collect()]
-    assert any("variance" in s for s in lines) and lines[-1].startswith("Consider ensemble")
+    assert any(s.startswith("scores_close") for s in lines) and lines[-1] == "compare_with_ensemble"
 
 
 def test_permutation_importance_prefers_the_telling_column(spark, planted):

@@ -42,6 +42,19 @@ def _lag(x: np.ndarray, k: int) -> np.ndarray:
     return np.r_[np.zeros(k), x[:-k]] if k < len(x) else np.zeros(len(x))
 
 
+def _filled(y: np.ndarray) -> np.ndarray:
+    """Missing values by linear interpolation, the nearest value at the ends, zero where there is none."""
+    known = np.isfinite(y)
+    if known.all() or not known.any():
+        return np.where(known, y, 0.0)
+    at = np.arange(len(y))
+    return np.interp(at, at[known], y[known])
+
+
+def _mean_only(y: np.ndarray) -> dict:
+    return {"const": float(y.mean()), "ar": [], "ma": [], "sigma2": float(y.var())}
+
+
 def _fit(y: np.ndarray, order: Sequence[int]) -> dict | None:
     """Level-form coefficients: y_t = const + sum ar_i y_(t-i) + e_t + sum ma_j e_(t-j)."""
     p, d, q, sp, sd, sq, s = order
@@ -136,7 +149,7 @@ def differencing_order(df: DataFrame, key: str, date: str = "ds", value: str = "
     """(key, d): the first d in 0..most whose d-th difference looks stationary at 5 %, else 1."""
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values(date)[value].to_numpy("float64")
+        y = _filled(pdf.sort_values(date)[value].to_numpy("float64"))
         found = 1
         for d in range(most + 1):
             z = np.diff(y, d)
@@ -157,8 +170,7 @@ def fit_candidates(df: DataFrame, key: str, candidates: DataFrame, date: str = "
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         order = [int(pdf[c].iloc[0]) for c in _ORDER_NAMES]
-        y = pdf.sort_values(date)[value].to_numpy("float64")
-        found = _fit(y, order) if len(y) and np.isfinite(y).all() else None
+        found = _fit(_filled(pdf.sort_values(date)[value].to_numpy("float64")), order)
         names = [c.split()[0] for c in FITTED.split(", ")]
         if found is None:
             return pd.DataFrame(columns=[key, *names])
@@ -192,7 +204,9 @@ def fit(
     criterion: str = "aic",
 ) -> DataFrame:
     """One row of coefficients per series. Without an order the best of the p, q grid is taken;
-    with a ``period`` a seasonal order is chosen next, keeping (p, d, q)."""
+    with a ``period`` a seasonal order is chosen next, keeping (p, d, q). Missing values are
+    interpolated. ``status`` is "fitted", or "mean" for a series that no order fits (too short, say):
+    it is described by its mean and variance, so every series has a row."""
     if criterion not in ("aic", "bic"):
         raise ValueError(f"unknown criterion: {criterion}")
     keys = df.select(key).distinct()
@@ -204,13 +218,20 @@ def fit(
         pairs = [(p, q) for p in range(MAX_P + 1) for q in range(MAX_Q + 1) if p + q] if auto_order else [(1, 1)]
         grid = [(p, q, 0, 0, 0, 1) for p, q in pairs]
     candidates = base.select(key, "d", _orders(grid)).select(key, "d", "_o.*").select(key, *_ORDER_NAMES)
-    plain = _best(fit_candidates(df, key, candidates, date, value), key, criterion)
+    plain = _best(fit_candidates(df, key, candidates, date, value), key, criterion).withColumn("status", F.lit("fitted"))
+    v = clean_double(value)
+    flat = df.groupBy(key).agg(F.coalesce(F.avg(v), F.lit(0.0)).alias("const"), F.coalesce(F.var_pop(v), F.lit(0.0)).alias("sigma2"), F.count(F.lit(1)).alias("n"))
+    none = F.array().cast("array<double>")
+    zeros = [F.lit(1 if n == "period" else 0).alias(n) for n in _ORDER_NAMES]
+    flat = flat.select(key, *zeros, "const", none.alias("ar"), none.alias("ma"), "sigma2", F.lit(None).cast("double").alias("aic"), F.lit(None).cast("double").alias("bic"), "n", F.lit("mean").alias("status"))
+    names = [c for c in plain.columns if c != key]
+    plain = flat.select(key, F.struct(*names).alias("_f")).join(plain.select(key, F.struct(*names).alias("_p")), key, "left").select(key, F.coalesce("_p", "_f").alias("_m")).select(key, "_m.*")
     if not period or period < 2:
         return plain
     seasonal = [seasonal_order] if seasonal_order else SEASONAL
     options = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("sp", "sd", "sq", "period"), (*o, period))]) for o in seasonal]))
     more = plain.select(key, "p", "d", "q", options.alias("_o")).select(key, "p", "d", "q", "_o.*").select(key, *_ORDER_NAMES)
-    richer = _best(fit_candidates(df, key, more, date, value), key, criterion)
+    richer = _best(fit_candidates(df, key, more.where("p + q + d > 0"), date, value), key, criterion).withColumn("status", F.lit("fitted"))
     # a series too short for seasonal lags keeps its plain model
     names = [c for c in plain.columns if c != key]
     a, b = plain.select(key, F.struct(*names).alias("_a")), richer.select(key, F.struct(*names).alias("_b"))
@@ -223,7 +244,7 @@ def forecast(df: DataFrame, model: DataFrame, horizon: int = 30, level: float =
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
-        y = pdf.sort_values(date)[value].to_numpy("float64")
+        y = _filled(pdf.sort_values(date)[value].to_numpy("float64"))
         mean, half = _ahead(y, first.const, np.array(first.ar), np.array(first.ma), first.sigma2, horizon, level)
         return pd.DataFrame({key: first[key], "_last": pdf[date].max(), "_h": range(1, horizon + 1), "yhat": mean, "yhat_lower": mean - half, "yhat_upper": mean + half})
 
@@ -240,7 +261,7 @@ def in_sample(df: DataFrame, model: DataFrame, key: str = "series_id", date: str
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(date)
         first = pdf.iloc[0]
-        y = pdf[value].to_numpy("float64")
+        y = _filled(pdf[value].to_numpy("float64"))
         skip = len(first.ar)
         e = _residuals(y, first.const, np.array(first.ar), np.array(first.ma))
         return pd.DataFrame({key: first[key], "ds": pdf[date], "actual": y, "predicted": y - e}).iloc[skip:]
@@ -254,7 +275,7 @@ def diagnostics(df: DataFrame, model: DataFrame, key: str = "series_id", date: s
     tests = forecast_metrics.residual_diagnostics(in_sample(df, model, key, date, value), [key])
     rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_observations"))
     wanted = tests.select(key, F.col("mean").alias("residual_mean"), F.col("std").alias("residual_std"), "ljung_box_pvalue")
-    return model.select(key, *_ORDER_NAMES, "aic", "bic").join(rows, key).join(wanted, key, "left")
+    return model.select(key, "status", *_ORDER_NAMES, "aic", "bic").join(rows, key).join(wanted, key, "left")
 
 
 def info(df: DataFrame, model: DataFrame, key: str = "series_id") -> DataFrame:
@@ -266,23 +287,24 @@ def info(df: DataFrame, model: DataFrame, key: str = "series_id") -> DataFrame:
 def backtest(df: DataFrame, model: DataFrame, folds: int = FOLDS, rows_per_fold: int = FOLD_ROWS, key: str = "series_id", date: str = "ds", value: str = "y") -> DataFrame:
     """(key, fold, ds, actual, predicted): refit before each trailing fold with the chosen orders.
 
-    Each fold is a group of its own, so folds of one series run side by side.
+    Each fold is a group of its own, so folds of one series run side by side. A series under two folds
+    of rows is tested on its last third, and a training part that cannot be fitted predicts its mean;
+    only a series of a single row has nothing to test.
     """
     kind = df.schema[key].dataType.simpleString()
     base = df.select(key, F.col(date).cast("timestamp").alias("ds"), clean_double(value).alias("y"))
     each = Window.partitionBy(key)  # one row per period
     numbered = base.withColumn("_i", F.row_number().over(each.orderBy("ds"))).withColumn("_n", F.count(F.lit(1)).over(each))
+    size = F.when(F.col("_n") >= 2 * rows_per_fold, F.lit(rows_per_fold)).otherwise(F.greatest(F.lit(1), F.floor(F.col("_n") / 3))).cast("int")
     allowed = F.least(F.lit(folds), F.greatest(F.lit(1), F.floor(F.col("_n") / rows_per_fold).cast("int") - 1))
     spread = numbered.withColumn("fold", F.explode(F.sequence(F.lit(0), allowed - 1)))
-    end = F.col("_n") - F.col("fold") * rows_per_fold
-    spread = spread.where((F.col("_i") <= end) & (end >= 2 * rows_per_fold)).withColumn("_test", F.col("_i") > end - rows_per_fold)
+    end = F.col("_n") - F.col("fold") * size
+    spread = spread.where((F.col("_i") <= end) & (end >= 2 * size)).withColumn("_test", F.col("_i") > end - size)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ds")
-        y, test = pdf.y.to_numpy("float64"), pdf._test.to_numpy(bool)
-        found = _fit(y[~test], [int(pdf[c].iloc[0]) for c in _ORDER_NAMES])
-        if found is None:
-            return pd.DataFrame(columns=[key, "fold", "ds", "actual", "predicted"])
+        y, test = _filled(pdf.y.to_numpy("float64")), pdf._test.to_numpy(bool)
+        found = _fit(y[~test], [int(pdf[c].iloc[0]) for c in _ORDER_NAMES]) or _mean_only(y[~test])
         mean, _ = _ahead(y[~test], found["const"], np.array(found["ar"]), np.array(found["ma"]), found["sigma2"], int(test.sum()), 0.95)
         return pd.DataFrame({key: pdf[key].iloc[0], "fold": pdf.fold.iloc[0], "ds": pdf.ds[test], "actual": y[test], "predicted": mean})
 

@@ -234,9 +234,9 @@ QUERIES = {
     "fraud_advice": (
         lambda s, d: rounded(forest.advice(_ruled(s, d))),
         f"WITH {_RULED}, a AS (SELECT count(*) AS n, sum(CAST(fl AS INT)) * 100.0 / count(*) AS rate, stddev_samp(-amount) AS sd, count(*) FILTER (risk = 'Critical') AS cr FROM ru), "
-        "l AS (SELECT list_filter([CASE WHEN rate > 5 THEN printf('High flag rate (%.1f%%): Consider reviewing threshold settings to reduce false positives.', rate) WHEN rate < 0.1 THEN printf('Very low flag rate (%.2f%%): Consider lowering threshold to catch more potential fraud.', rate) END, "
-        "CASE WHEN sd < 0.1 THEN 'Low score variance: Consider adding more diverse features to improve detection sensitivity.' END, CASE WHEN cr > n * 0.01 THEN printf('%d critical-risk transactions detected. Recommend immediate manual review.', cr) END, "
-        "'Implement real-time scoring for immediate fraud prevention.', 'Set up automated alerts for critical-risk transactions.', 'Regularly retrain model with new fraud patterns.', 'Consider ensemble methods for improved accuracy.'], lambda x: x IS NOT NULL) AS l FROM a) "
+        "l AS (SELECT list_filter([CASE WHEN rate > 5 THEN printf('flag_rate_high: %.1f%% of rows flagged', rate) WHEN rate < 0.1 THEN printf('flag_rate_low: %.2f%% of rows flagged', rate) END, "
+        "CASE WHEN sd < 0.1 THEN 'scores_close: spread below 0.1' END, CASE WHEN cr > n * 0.01 THEN printf('review_critical: %d rows', cr) END, "
+        "'score_on_arrival', 'alert_on_critical', 'refit_on_new_labels', 'compare_with_ensemble'], lambda x: x IS NOT NULL) AS l FROM a) "
         "SELECT CAST(i AS BIGINT) AS place, l[i + 1] AS line FROM l, range(10) t(i) WHERE i < len(l)",
     ),
     "fraud_summary": (
@@ -252,7 +252,7 @@ QUERIES = {
     "arima_orders": (q_arima_orders, None),
     "arima_backtest": (q_arima_backtest, None),
     "csv_round_trip": (_files(sinks.write_rows, "csv", _SCHEMA), _FILE_SQL),
-    "json_round_trip": (_files(sinks.write_summary, "json", _SCHEMA), _FILE_SQL),
+    "json_round_trip": (_files(sinks.write_json, "json", _SCHEMA), _FILE_SQL),
     "detected_dates": (q_detected_dates, "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS ordered, o_orderpriority FROM orders"),
     "fraud_job": (q_fraud_job, None),
     "segmentation_job": (q_segmentation_job, None),

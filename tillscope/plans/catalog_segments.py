@@ -118,21 +118,21 @@ QUERIES = {
     "campaigns": (
         lambda s, d: segments.campaign_texts(_profiles(s, d), "segment"),
         f"WITH {SEGS}, {_PROF}, o AS (SELECT *, row_number() OVER (ORDER BY m DESC, segment) AS place FROM prof, med) SELECT CAST(place AS BIGINT) AS place, segment, "
-        "printf('Cluster %s (%d customers, %.1f%%): ', segment, size, percentage) || CASE WHEN place = 1 THEN printf('VIP treatment - exclusive offers, early access, loyalty rewards. High value ($%.2f avg), focus on retention.', m) "
-        "WHEN f > f0 THEN printf('Cross-sell and upsell opportunities. Frequent buyers (%.1f purchases), increase basket size.', f) WHEN r < r0 THEN printf('Nurture new relationships. Recent customers (%.0f days), welcome series and education.', r) "
-        "ELSE printf('Reactivation campaigns needed. At risk (%.0f days since purchase), win-back offers.', r) END AS recommendation FROM o",
+        "printf('%s, %d customers (%.1f%%): ', segment, size, percentage) || CASE WHEN place = 1 THEN printf('retain, mean money %.2f', m) "
+        "WHEN f > f0 THEN printf('widen the basket, mean purchases %.1f', f) WHEN r < r0 THEN printf('welcome, mean days since purchase %.0f', r) "
+        "ELSE printf('win back, mean days since purchase %.0f', r) END AS recommendation FROM o",
     ),
     "personas": (
         lambda s, d: segments.personas(_profiles(s, d), "segment"),
-        f"WITH {SEGS}, {_PROF} SELECT segment, printf('Segment %s (%d customers, %.1f%%): ', segment, size, percentage) || concat_ws(', ', CASE WHEN r < r0 * 0.5 THEN 'very active' WHEN r < r0 THEN 'recently engaged' WHEN r > r0 * 1.5 THEN 'inactive' ELSE 'moderately active' END, "
-        "CASE WHEN f > f0 * 1.5 THEN 'frequent buyer' WHEN f < f0 * 0.5 THEN 'occasional buyer' END, CASE WHEN m > m0 * 2 THEN 'high spender' WHEN m > m0 THEN 'above-average spender' WHEN m < m0 * 0.5 THEN 'budget-conscious' END) "
-        "|| printf('. Average spend: $%.2f, Purchase frequency: %.1f, Days since last purchase: %.0f', m, f, r) AS persona FROM prof, med",
+        f"WITH {SEGS}, {_PROF} SELECT segment, printf('%s, %d customers, %.1f%%: ', segment, size, percentage) || concat_ws(', ', CASE WHEN r < r0 * 0.5 THEN 'bought lately' WHEN r < r0 THEN 'bought recently' WHEN r > r0 * 1.5 THEN 'long absent' ELSE 'some time absent' END, "
+        "CASE WHEN f > f0 * 1.5 THEN 'buys often' WHEN f < f0 * 0.5 THEN 'buys rarely' END, CASE WHEN m > m0 * 2 THEN 'spends much' WHEN m > m0 THEN 'spends above the median' WHEN m < m0 * 0.5 THEN 'spends little' END) "
+        "|| printf('; money %.2f, purchases %.1f, days %.0f', m, f, r) AS persona FROM prof, med",
     ),
     "segment_summary": (
         lambda s, d: rounded(segments.summary_text(scored_customers(s, d), "segment", FEATURES)),
         f"WITH {SEGS}, {_LONG}, c AS (SELECT segment, count(*) AS n FROM segs GROUP BY 1), x AS (SELECT feature, arg_max(segment, m) AS hi, arg_min(segment, m) AS lo FROM (SELECT feature, segment, avg(value) AS m FROM long GROUP BY 1, 2) GROUP BY 1), "
-        "t AS (SELECT sum(n) AS all_n, count(*) AS k FROM c) SELECT 1::BIGINT AS section, 0::BIGINT AS place, 'Segment Analysis Summary' AS line UNION ALL SELECT 1, 1, format('Total customers: {:,}', CAST(all_n AS BIGINT)) FROM t UNION ALL SELECT 1, 2, printf('Number of segments: %d', k) FROM t "
-        "UNION ALL SELECT 1, 3, 'Features analyzed: 3' UNION ALL SELECT 2, row_number() OVER (ORDER BY n DESC, segment), 'Segment ' || segment || ': ' || format('{:,}', n) || printf(' (%.1f%%)', n * 100.0::DOUBLE / all_n) FROM c, t "
-        "UNION ALL SELECT 3, list_position(['recency', 'frequency', 'monetary'], feature), printf('%s: Highest in Segment %s, Lowest in Segment %s', feature, hi, lo) FROM x",
+        "t AS (SELECT sum(n) AS all_n, count(*) AS k FROM c) SELECT 1::BIGINT AS section, 0::BIGINT AS place, 'segments' AS line UNION ALL SELECT 1, 1, format('customers: {:,}', CAST(all_n AS BIGINT)) FROM t UNION ALL SELECT 1, 2, printf('segments: %d', k) FROM t "
+        "UNION ALL SELECT 1, 3, 'features: 3' UNION ALL SELECT 2, row_number() OVER (ORDER BY n DESC, segment), segment || ': ' || format('{:,}', n) || printf(' (%.1f%%)', n * 100.0::DOUBLE / all_n) FROM c, t "
+        "UNION ALL SELECT 3, list_position(['recency', 'frequency', 'monetary'], feature), printf('%s: most in %s, least in %s', feature, hi, lo) FROM x",
     ),
 }

@@ -7,9 +7,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-# Date patterns tried on text columns, sample size and share that must parse.
+# Date patterns tried on text columns, and the share that must parse.
 DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss")
-DATE_SAMPLE = 100
 DATE_SHARE = 0.8
 
 # The documented table layouts.
@@ -35,16 +34,26 @@ def parse_dates(df: DataFrame, columns: Sequence[str], formats: Sequence[str] =
     return df.withColumns({c: F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]) for c in columns if c in text})
 
 
-def detect_dates(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Convert text columns whose first non-null values mostly parse with one of the patterns."""
-    for c in [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]:
-        sample = df.select(c).where(F.col(c).isNotNull()).limit(DATE_SAMPLE)  # the detection rule looks at 100 values
-        row = sample.agg(F.count(c).alias("n"), *[F.count(F.try_to_timestamp(c, F.lit(f))).alias(f"f{i}") for i, f in enumerate(formats)]).first()
-        for i, f in enumerate(formats):
-            if row["n"] and row[f"f{i}"] / row["n"] > DATE_SHARE:
-                df = df.withColumn(c, F.try_to_timestamp(c, F.lit(f)))
-                break
-    return df
+def detect_dates(df: DataFrame, formats: Sequence[str] = DATE_FORMATS, share: float = DATE_SHARE) -> DataFrame:
+    """Convert text columns of which more than ``share`` of all values parse with one of the patterns.
+
+    All columns and patterns are judged on the whole table in one aggregate. What does not parse
+    becomes null in the new column; the text stays beside it as ``<column>_text`` where that happens.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not texts:
+        return df
+    counts = [F.count(df[c]).alias(f"n{k}") for k, c in enumerate(texts)]
+    counts += [F.count(F.try_to_timestamp(df[c], F.lit(f))).alias(f"n{k}_{i}") for k, c in enumerate(texts) for i, f in enumerate(formats)]
+    row = df.agg(*counts).first()
+    changed = {}
+    for k, c in enumerate(texts):
+        best = next((i for i in range(len(formats)) if row[f"n{k}"] and row[f"n{k}_{i}"] / row[f"n{k}"] > share), None)
+        if best is not None:
+            changed[c] = F.try_to_timestamp(df[c], F.lit(formats[best]))
+            if row[f"n{k}_{best}"] < row[f"n{k}"]:
+                changed[f"{c}_text"] = df[c]
+    return df.withColumns(changed) if changed else df
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, date_columns: Sequence[str] = (), parse: bool = True, **options) -> DataFrame:

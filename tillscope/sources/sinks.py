@@ -21,6 +21,11 @@ def write_rows(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """Rows as JSON lines, written by all tasks; null fields are kept."""
+    plain_values(df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
 def write_summary(df: DataFrame, path: str) -> None:
     """A frame of a few rows as JSON lines; null fields are kept."""
     plain_values(df).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
