@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("catalog_customers", "catalog_transactions", "catalog_cleaning", "catalog_metrics", "catalog_segments", "catalog_models")
+MODULES = ("catalog_customers", "catalog_transactions", "catalog_cleaning", "catalog_metrics", "catalog_segments", "catalog_models", "catalog_checks")
 
 
 def registered() -> dict[str, tuple]:
