@@ -49,3 +49,13 @@ def test_stream_equals_batch(spark, tmp_path):
     final = {r.ds: r.amount for r in spark.read.parquet(str(tmp_path / "days")).collect()}
     expect = {r.d: r.a for r in t.groupBy(F.date_trunc("day", "timestamp").alias("d")).agg(F.sum("amount").alias("a")).collect()}
     assert final and all(np.isclose(expect[d], v) for d, v in final.items())
+
+
+def test_workspace_removes_its_tables(spark):
+    from tillscope.session import materialize, workspace
+
+    with workspace(spark):
+        held = materialize(spark.range(10).toDF("x"))
+        assert held.count() == 10
+    with pytest.raises(Exception):
+        spark.read.parquet(held.inputFiles()[0]).count()

@@ -14,9 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillscope.functions.columns import correlation, safe_div
 from tillscope.operators import ranking
 
-MAX_MODELS = 1000
-
-
 def binary(df: DataFrame, *columns: str) -> DataFrame:
     """Bring labels to 1 = positive, 0 = negative; a column that uses -1/1 has -1 for positive."""
     row = df.agg(*[F.max((F.col(c) == -1).cast("int")).alias(c) for c in columns]).first()
@@ -53,17 +50,13 @@ def confusion(df: DataFrame, y: str = "y", pred: str = "pred", groups: Sequence[
 
 def orient(df: DataFrame, y: str = "y", score: str = "score", groups: Sequence[str] = ()) -> DataFrame:
     """Turn the score so that it does not correlate negatively with the label (per model)."""
-    rows = df.groupBy(*groups).agg(correlation(F.col(score), F.col(y)).alias("_r")).limit(MAX_MODELS + 1).collect()
-    if len(rows) > MAX_MODELS:
-        raise ValueError(f"more than {MAX_MODELS} models in one comparison")
-    turned = [r for r in rows if r["_r"] is not None and r["_r"] < 0]
     x = F.col(score).cast("double")
-    for r in turned:
-        mine = F.lit(True)
-        for g in groups:
-            mine = mine & F.col(g).eqNullSafe(F.lit(r[g]))
-        x = F.when(mine, -F.col(score).cast("double")).otherwise(x)
-    return df.withColumn(score, x)
+    turn = F.coalesce(correlation(F.col(score), F.col(y)) < 0, F.lit(False)).alias("_turn")
+    if not groups:
+        return df.withColumn(score, -x if df.agg(turn).first()[0] else x)
+    signs = df.groupBy(*groups).agg(turn).withColumnsRenamed({g: f"_g_{g}" for g in groups})
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
+    return df.join(signs, same, "left").withColumn(score, F.when(F.col("_turn"), -x).otherwise(x)).select(*df.columns)
 
 
 def score_table(df: DataFrame, y: str = "y", score: str = "score", groups: Sequence[str] = ()) -> DataFrame:

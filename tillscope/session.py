@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tillscope-"))
     return context.getCheckpointDir()
@@ -60,10 +63,30 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    for owner in _OWNERS:
+        owner.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_OWNERS: list[list[str]] = []
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialize`` writes inside are deleted at the end; write results before that."""
+    mine: list[str] = []
+    _OWNERS.append(mine)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(mine)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in mine:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
 def bucket_count(spark: SparkSession) -> int:
     """How many value ranges a distributed rank is split into; follows the shuffle width."""
     return min(20_000, max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
