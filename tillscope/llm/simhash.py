@@ -20,10 +20,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillscope.llm.common import materialize, prepare, slices, text_bytes
+from tillscope.llm.common import bitmap, materialize, prepare, slices, text_bytes, with_hit
 
 SEED = 42
 CROWD = 32  # halves shared by more fingerprints are probed by whole fingerprints
+FIRST_BITS = 1 << 26
 ROUNDS_AT_ONCE = 8192  # hashes whose bits are counted together
 
 
@@ -171,5 +172,10 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     boxed = docs.select(F.col(text_col).alias("_body"), F.struct(F.col(id_col).alias("id"), F.struct("*").alias("row")).alias("_keep"))
     hashed = materialize(fingerprints(boxed, F.col("_keep"), "_body", words_per_shingle).withColumn("_place", F.monotonically_increasing_id()))
     key = F.struct(F.col("_box.id").isNull().alias("none"), F.col("_box.id").alias("id"), F.col("_place").alias("place"))
-    winners = _classes(hashed, key, max_bits).select(F.col("_least.place").alias("_place")).distinct()
-    return hashed.join(winners, "_place", "left_semi").select("_box.row.*")
+    labels = _classes(hashed, key, max_bits).select("_fp", F.col("_least.place").alias("_stays"))
+    gone = materialize(hashed.select("_fp", "_place").join(labels, "_fp").where("_place <> _stays").select("_place"))
+    # rows that surely stay never move; those that the bitmap of the others may hold are looked up exactly
+    cells = bitmap(gone.select(F.xxhash64("_place").alias("_h")), "_h", FIRST_BITS)
+    flagged = with_hit(hashed.select("_box", "_place"), F.xxhash64("_place"), cells, FIRST_BITS)
+    left = flagged.where("NOT _hit").select("_box.row.*")
+    return left.unionByName(flagged.where("_hit").join(gone, "_place", "left_anti").select("_box.row.*"))
