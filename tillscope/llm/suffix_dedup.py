@@ -13,6 +13,8 @@ equal windows meet, and only where it matters:
 3. ``_settle``: the same sort over all that was sent to a bucket; again later documents are marked.
 4. ``_cut``: documents meet their marks.
 
+Whole copies of an earlier text (same SHA-256) are removed beforehand: all their windows are repeated.
+
 The windows around a very common passage share its anchors without being equal. Anchors of very many
 documents (their number is bounded by the share that makes one common) are therefore not used to deal
 windows: these go by a hash of the whole window.
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillscope.llm import suffix_sort as ss
 from tillscope.llm.common import bitmap, materialize, prepare, text_bytes, with_hit
 
-BUFFER = 1 << 21  # bytes of text whose anchors are taken together
+BUFFER = 1 << 20  # bytes of text whose anchors are taken together
 OFFER_BYTES = 1 << 24  # bytes of text whose anchors are sent together
 BUCKET_BYTES = 8 << 20  # bytes of text for each bucket
 LEAST_BUCKETS = 48
@@ -245,7 +247,7 @@ def _marks(doc: np.ndarray, text: np.ndarray, place: np.ndarray) -> bytes:
 def _extract(buckets: int, shared, judge):
     """Documents of a bucket and their answers to marks (kind 1) and to first windows with their bytes (kind 0)."""
 
-    def run(_key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         common = shared.value
         if not right.num_rows:
             return _batch([], [], []).schema.empty_table()
@@ -278,7 +280,7 @@ def _extract(buckets: int, shared, judge):
             if len(again):
                 where = number[piece[of[again]]]
                 packed = _marks(names[where].astype(np.uint64), tags[where].astype(np.uint64), (window[again] - starts[piece[of[again]]] + offset[piece[of[again]]]).astype(np.uint64))
-                out.append(_batch([buckets], [1], [packed]))
+                out.append(_batch([buckets + key[0].as_py()], [1], [packed]))
             out.append(_send(raw, np.sort(kept), window, of, found, place, piece, starts, number, offset, names, tags, spaces, common, buckets))
         return pa.Table.from_batches(out, schema=_batch([], [], []).schema)
 
@@ -317,26 +319,46 @@ def _send(raw, kept, window, of, found, place, piece, starts, number, offset, na
 
 
 def _settle(judge):
-    """First windows of a bucket to marks."""
+    """First windows of a bucket to marks, a part of its anchors at a time; marks (kind 1) pass through."""
+
+    def part(numbers: list[np.ndarray], raw: np.ndarray, begin: np.ndarray) -> Iterator[pa.RecordBatch]:
+        anchor, ahead, count, doc, tag, offset = numbers
+        size = count.astype(np.int64) + ss.LENGTH - 1
+        run, _ = _windows(begin, size)
+        window, of = _windows(np.cumsum(size) - size, count.astype(np.int64))
+        step = window - (np.cumsum(size) - size)[of]
+        order, head = ss.deep_shallow(raw[run], window, anchor[of] * np.uint64(64) + ahead[of] - step.astype(np.uint64))
+        again, _ = judge(doc.astype(np.int64)[of], order, head)
+        if len(again):
+            yield _batch([0], [1], [_marks(doc[of[again]], tag[of[again]], offset[of[again]] + step[again].astype(np.uint64))])
 
     def run(_key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, texts = [], []
         for batch in batches:
-            for data in batch.column(batch.schema.names.index("data")).to_pylist():
+            names = batch.schema.names
+            for kind, data in zip(batch.column(names.index("kind")).to_pylist(), batch.column(names.index("data")).to_pylist()):
+                if kind == 1:
+                    yield _batch([0], [1], [data])
+                    continue
                 cut = 4 + int.from_bytes(data[:4], "little")
                 numbers.append(_unpack(data[4:cut]))
                 texts.append(zstandard.ZstdDecompressor().decompress(data[cut:]))
         if not numbers:
             return
-        anchor, ahead, count, doc, tag, offset = (np.concatenate(c) for c in zip(*numbers))
+        columns = [np.concatenate(c) for c in zip(*numbers)]
         raw = np.frombuffer(b"".join(texts), np.uint8)
-        size = count.astype(np.int64) + ss.LENGTH - 1
-        window, of = _windows(np.cumsum(size) - size, count.astype(np.int64))
-        step = window - (np.cumsum(size) - size)[of]
-        order, head = ss.deep_shallow(raw, window, anchor[of] * np.uint64(64) + ahead[of] - step.astype(np.uint64))
-        again, _ = judge(doc.astype(np.int64)[of], order, head)
-        if len(again):
-            yield _batch([0], [1], [_marks(doc[of[again]], tag[of[again]], offset[of[again]] + step[again].astype(np.uint64))])
+        del numbers, texts
+        size = columns[2].astype(np.int64) + ss.LENGTH - 1
+        begin = np.cumsum(size) - size
+        order = np.argsort(columns[0], kind="stable")
+        columns, size, begin = [c[order] for c in columns], size[order], begin[order]
+        # parts of about BUFFER bytes that end between anchors
+        head = np.flatnonzero(ss._heads(columns[0]))
+        after = np.cumsum(size)
+        lot = (after[head] - size[head]) // BUFFER
+        cuts = [*head[ss._heads(lot)].tolist(), len(size)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield from part([c[a:b] for c in columns], raw, begin[a:b])
 
     return run
 
@@ -368,6 +390,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _copies(long: DataFrame) -> DataFrame:
+    """Texts that are whole copies of the text of a smaller document: all their windows are repeated."""
+    narrow = long.select("_doc", "_tag", "_space", F.sha2("_text", 256).alias("_s"), F.length("_text").cast("long").alias("_n"))
+    firsts = narrow.groupBy("_space", "_s").agg(F.min("_doc").alias("_least"), F.max("_doc").alias("_most")).where("_least < _most").drop("_most")
+    return materialize(narrow.join(firsts, ["_space", "_s"]).where("_doc > _least").select("_doc", "_tag", "_n").distinct())
+
+
+def _without(long: DataFrame, copies: DataFrame) -> DataFrame:
+    """The other texts; only those that a bitmap of the copies may hold are looked up."""
+    cells = bitmap(copies.select(F.xxhash64("_doc", "_tag").alias("_h")), "_h", FIRST_BITS)
+    flagged = with_hit(long, F.xxhash64("_doc", "_tag"), cells, FIRST_BITS)
+    return flagged.where("NOT _hit").unionByName(flagged.where("_hit").join(copies.select("_doc", "_tag"), ["_doc", "_tag"], "left_anti")).drop("_hit")
+
+
 def repeated(texts: DataFrame, buckets: int | None = None, every: bool = False) -> DataFrame:
     """Ranges of window starts (_doc, _tag, _first, _number as arrays) whose 50-byte string is repeated.
 
@@ -381,6 +417,9 @@ def repeated(texts: DataFrame, buckets: int | None = None, every: bool = False)
     buckets = _prime(buckets)
     judge = ss.common if every else ss.repeats
     long = texts.where(F.length("_text") >= ss.LENGTH)
+    if not every:
+        copies = _copies(long)
+        long = _without(long, copies)
 
     offers = long.select("_doc", "_space", "_text").mapInArrow(_offer(buckets), _PACKED)
     answers = materialize(offers.groupBy("key").applyInArrow(_answer(buckets), _PACKED))
@@ -391,9 +430,10 @@ def repeated(texts: DataFrame, buckets: int | None = None, every: bool = False)
 
     placed = long.select(F.pmod("_doc", F.lit(buckets)).cast("int").alias("key"), "_doc", "_tag", "_space", "_text")
     asked = answers.select("key", "data").groupBy("key")
-    sent = materialize(placed.groupBy("key").cogroup(asked).applyInArrow(_extract(buckets, spark.sparkContext.broadcast(common), judge), _PACKED))
-    settled = sent.where("kind = 0").groupBy("key").applyInArrow(_settle(judge), _PACKED)
-    marks = sent.where("kind = 1").select("data").unionByName(settled.select("data")).mapInArrow(_ranges, "_doc long, _tag long, _first long, _number long")
+    sent = placed.groupBy("key").cogroup(asked).applyInArrow(_extract(buckets, spark.sparkContext.broadcast(common), judge), _PACKED)
+    marks = sent.groupBy("key").applyInArrow(_settle(judge), _PACKED).select("data").mapInArrow(_ranges, "_doc long, _tag long, _first long, _number long")
+    if not every:
+        marks = marks.unionByName(copies.select("_doc", "_tag", F.lit(0).cast("long").alias("_first"), (F.col("_n") - ss.LENGTH + 1).alias("_number")))
     return materialize(marks.groupBy("_doc", "_tag").agg(F.collect_list("_first").alias("_first"), F.collect_list("_number").alias("_number")))
 
 
