@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillscope.session import materialize, tune
 
-__all__ = ["bitmap", "columns_of", "fan", "materialize", "prepare", "slices", "table", "text_bytes", "with_hit"]
+__all__ = ["bitmap", "fan", "materialize", "prepare", "slices", "table", "text_bytes", "with_hit"]
 
 # Arrow batches between the JVM and Python are cut by size as well as by rows, so that long texts stay bounded
 BATCH_BYTES = "8m"
@@ -67,7 +67,3 @@ def slices(batch: pa.RecordBatch, column: str, budget: int) -> Iterator[pa.Recor
         held += n or 0
     if start < len(sizes):
         yield batch.slice(start)
-
-
-def columns_of(batch: pa.RecordBatch, *names: str) -> list[list]:
-    return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]

@@ -232,7 +232,7 @@ def _index(terms: dict[str, int], idf: np.ndarray, examples: list) -> Index:
 
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = Index(**shared.value)
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("rate", pa.float64())]))
         for whole in batches:
             for batch in slices(whole, "_text", 2 * PIECE):
@@ -255,7 +255,7 @@ def rate(docs: DataFrame, index: Index, carry: Column, text_col: str = "text") -
     prepare(docs.sparkSession)
     rows = docs.select(carry.alias("_box"), text_bytes(text_col).alias("_text"))
     box = rows.schema["_box"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(index))  # plain arrays: executors need no copy of the package
     return rows.mapInArrow(_scorer(shared), f"_box {box}, score double, evidence array<struct<doc_id:bigint,cosine:double,rate:double>>")
 
 
