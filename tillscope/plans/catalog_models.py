@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillscope.operators import arima, clustering, decomposition, detectors, forest, rfm, segments, series, txn_features
 from tillscope.plans import jobs
-from tillscope.plans.sql_parts import PURCHASES, SEGS, TXN, rfm_of
+from tillscope.plans.sql_parts import SEGS, TXN
 from tillscope.plans.views import purchases, rounded, sales_rows, scored_customers, table, transactions
 from tillscope.session import materialize, shared_dir
 from tillscope.sources import readers, sinks
