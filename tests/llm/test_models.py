@@ -109,6 +109,18 @@ def test_toxicity(odd, empty, shared):
     assert {r.score for r in T.toxicity(frame, small.limit(0)).collect()} == {0.5}
 
 
+def test_toxic_terms_of_few_rows_count_at_any_sample_size(shared):
+    """A word of five toxic rows only is a term, in a small sample and in a large one."""
+    for n in (400, 12_000):
+        toxic = [i % 8 == 0 for i in range(n)]
+        texts = [f"plain w{'abcdefgh'[i % 7]}" + (" zorgh" if i in range(0, 40, 8) else "") for i in range(n)]
+        docs = shared.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        labels = shared.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+        index = T.fit(docs, labels)
+        assert "zorgh" in index.terms, n
+        assert index.score(b"zorgh")[0] > index.empty_rate, n
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="page has-sidebar"><nav><ul><li>Menu</li></ul></nav>
 <div class="cookie-notice">We use cookies</div><header>Site</header><main><article><header><h1>Head &amp; <i>line</i></h1></header><p>One<p>Two &eacute; &#x41; &nbsp; x<br>y
 <div class="ad-box">Buy</div><form><p>Mail</p></form><ul><li>a<li>b</ul><script>var t="</p>";</script><aside>side</aside><!-- <p>no</p> --><pre>k   v</pre><a title=it's href="/x>y">link</a> 1 < 2

@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Fitting reads a bounded sample of labelled rows (``MAX_EXAMPLES``). Terms that say something about the
-label (chi-square over the sample and its size, at most ``MAX_TERMS``) make up the vectors. The index cuts the
+label (chi-square over the sample, at most ``MAX_TERMS``) make up the vectors. The index cuts the
 examples in blocks and keeps, per term, its postings and its largest weight in each block: the sum of
 these maxima bounds every cosine of a block, so blocks are visited from the best bound down until no
 block can hold a nearer example. The nearest vote by their cosine; an isotonic fit of leave-one-out
@@ -23,9 +23,8 @@ from tillscope.llm.common import prepare, slices, text_bytes
 
 MAX_EXAMPLES = 20_000  # labelled rows that are fitted on
 MAX_TERMS = 20_000
-LEAST_CHI2 = 36.0  # a term of a few rows passes only if all of them agree
-LEAST_EFFECT = 0.004  # chi-square over the rows of the sample
-LOT = 16  # blocks that are summed together
+LEAST_CHI2 = 24.0
+LOT = 16  # best blocks that are summed first
 BLOCK = 128
 NEAREST = 15
 THRESHOLD = 0.7
@@ -79,19 +78,22 @@ class Index:
         bound = value @ self.most[at]
         visit = np.argsort(-bound, kind="stable")
         visit = visit[: np.count_nonzero(bound > 0)]
-        postings = [(self.example[a:b], v * self.weight[a:b]) for a, b, v in zip(self.start[at], self.start[at + 1], value)]
+        spans = list(zip(self.start[at].tolist(), self.start[at + 1].tolist()))
+        ids = np.concatenate([self.example[a:b] for a, b in spans])
+        part = np.concatenate([v * self.weight[a:b] for (a, b), v in zip(spans, value)])
+        home = ids // BLOCK
         found, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for lot in range(0, len(visit), LOT):
-            blocks = visit[lot : lot + LOT]
-            if len(cosine) >= k and bound[blocks[0]] <= cosine[k - 1] + 1e-12:
+        for begin, end in ((0, LOT), (LOT, len(visit))):  # the rest is bounded by what the best blocks hold
+            blocks = visit[begin:end]
+            if len(cosine) >= k:
+                blocks = blocks[bound[blocks] > cosine[k - 1] + 1e-12]
+            if not len(blocks):
                 break
             row_of = np.full(len(bound), -1)
             row_of[blocks] = np.arange(len(blocks))
-            sums = np.zeros((len(blocks), BLOCK))
-            for ids, part in postings:
-                row = row_of[ids // BLOCK]
-                here = row >= 0
-                sums[row[here], ids[here] % BLOCK] += part[here]
+            row = row_of[home]
+            here = row >= 0
+            sums = np.bincount(row[here] * BLOCK + ids[here] % BLOCK, part[here], len(blocks) * BLOCK).reshape(-1, BLOCK)
             row, cell = np.nonzero(sums > 1e-12)
             found, cosine = np.concatenate((found, blocks[row] * BLOCK + cell)), np.concatenate((cosine, sums[row, cell]))
             order = np.lexsort((found, -cosine))[:k]
@@ -176,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     cross = a * F.lit(float(n1)) - b * F.lit(float(n0))
     spread = (a + b) * (F.lit(total) - a - b) * float(max(n0, 1)) * float(max(n1, 1))
     chosen = counted.where("a + b >= 3").withColumn("chi2", F.when(spread > 0, F.lit(total) * cross * cross / spread).otherwise(F.lit(0.0)))
-    chosen = chosen.where(F.col("chi2") >= max(LEAST_CHI2, LEAST_EFFECT * total)).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect()
+    chosen = chosen.where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect()
     terms = {r["term"]: i for i, r in enumerate(chosen)}
     idf = np.array([np.log((1 + total) / (1 + r["a"] + r["b"])) + 1 for r in chosen])
 
