@@ -151,3 +151,12 @@ def test_units_keep_offsets():
     for _, begin, end, plain in L.units(text):
         assert b" ".join(text[begin:end].lower().split()) == plain
     assert L.cut(b"abcdef", [1, 2], [3, 4]) == (b"aef", [(1, 4)])
+
+
+def test_short_lines_and_scripts_without_spaces_are_units(shared):
+    """One-word lines, and sentences that end at other marks than ASCII ones, are met as well."""
+    passage = "这是一段在许多网页上反复出现的文字内容。"
+    line = "同じ行が何度も出てくる長い文章です"
+    rows = [(1, f"Menu\n{line}\n甲。{passage}乙。\n\nend one"), (2, f"MENU\n{line}\n\n丙。{passage}丁。\nend two"), (3, "Menu\nmenu\n")]
+    got = {r.doc_id: r.text for r in L.line_dedup(shared.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "\n丙。丁。\nend two", 3: ""}
