@@ -133,6 +133,16 @@ def test_blocks_of_a_page():
     assert list(blocks("<p>a</p><!-- open")) == [(1, "a")]
 
 
+def test_main_element_inside_a_form_or_a_named_container():
+    """Menus and forms inside stay chrome, and so do articles of a sidebar beside a main article."""
+    inner = "<nav>m</nav><{0}><h1>H</h1><p>body</p><form>mail</form><div class='share'>s</div></{1}><div class='ad'>x</div>"
+    for start, end in (("<form id=f>", "</form>"), ("<div class='content-with-sidebar'>", "</div>"), ("<form><div class='layout sidebar-right'>", "</div></form>"), ("", "")):
+        for first, last in (("article", "article"), ("main", "main"), ("div role=main", "div")):
+            assert H.page_blocks((start + inner.format(first, last) + end).encode()) == (["H", "body"], True), (start, first)
+    assert H.page_blocks(b"<article>a</article><div class=sidebar><article>b</article></div>") == (["a"], True)
+    assert H.page_blocks(b"<div>a</div><div class=related><article>b</article></div>") == (["a"], False)
+
+
 def test_host_repeats_go_where_structure_is_silent(shared):
     random.seed(8)
     words = ["".join(random.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
