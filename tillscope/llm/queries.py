@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillscope.llm.alignment import alignment
 from tillscope.llm.bpe import encoded
 from tillscope.llm.common import table
 from tillscope.llm.exact_dedup import exact_dedup
@@ -126,6 +127,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(ALIGN_A), public_tokenizers.path(ALIGN_B))
+
+
+ALIGN_A, ALIGN_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
 QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
@@ -137,4 +145,6 @@ QUERIES: dict[str, tuple] = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_language_id": (op9_language_id, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
+    # token ids have no SQL form; tests/llm/test_alignment.py compares with a whole-text brute force
+    "op11_cross_tokenizer_alignment": (op11_cross_tokenizer_alignment, None),
 }
