@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillscope.llm.alignment import alignment
 from tillscope.llm.bpe import encoded
+from tillscope.llm.compression_quality import compression_quality
 from tillscope.llm.common import table
 from tillscope.llm.exact_dedup import exact_dedup
 from tillscope.llm.html_extract import main_text
@@ -134,6 +135,10 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
 ALIGN_A, ALIGN_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
@@ -147,4 +152,6 @@ QUERIES: dict[str, tuple] = {
     "op10_byte_bpe": (op10_byte_bpe, None),
     # token ids have no SQL form; tests/llm/test_alignment.py compares with a whole-text brute force
     "op11_cross_tokenizer_alignment": (op11_cross_tokenizer_alignment, None),
+    # compressed sizes have no SQL form; tests/llm/test_compression_quality.py checks a brute force and held-out accuracy
+    "op12_quality_classifier": (op12_quality_classifier, None),
 }
