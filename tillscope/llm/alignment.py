@@ -34,9 +34,10 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillscope.llm.common import materialize, prepare
+from tillscope.llm.common import materialize, prepare, slices
 
 CHUNK_BYTES = 1 << 14
+SLICE_BYTES = 1 << 20  # text bytes tokenized at once in a task, so that a task's memory stays bounded
 FRAGMENT = "_row long, doc_id long, chunk long, cut boolean, pa array<int>, pb array<int>, closed string, sa array<int>, sb array<int>"
 
 
@@ -56,6 +57,9 @@ def _byte_alphabet() -> dict[str, int]:
 
 @lru_cache(maxsize=4)
 def _tokenizers(a_path: str, b_path: str):
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task: Spark gives the parallelism
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -78,7 +82,7 @@ def tokens(texts: list[str | None], a_path: str, b_path: str) -> list[tuple[list
     live = [i for i, t in enumerate(texts) if t]
     if not live:
         return found
-    a_enc = a.encode_batch([" " + texts[i] for i in live], add_special_tokens=False)
+    a_enc = a.encode_batch_fast([" " + texts[i] for i in live], add_special_tokens=False)
     b_ids = b.encode([texts[i] for i in live])
     for i, ea, eb in zip(live, a_enc, b_ids):
         whole = (" " + texts[i]).encode("utf-8", "surrogatepass")
@@ -131,7 +135,7 @@ def compose(left: tuple, right: tuple) -> tuple:
 
 
 def _chunked(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (s for whole in batches for s in slices(whole, "text", SLICE_BYTES)):
         rows, ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
         out: dict[str, list] = {k: [] for k in ("_row", "doc_id", "chunk", "cut", "pa", "pb", "closed", "sa", "sb")}
         for row, doc, found in zip(rows, ids, tokens(texts, a_path, b_path)):
