@@ -16,6 +16,7 @@ from tillscope.llm.line_dedup import line_dedup
 from tillscope.llm.mixing import mixture
 from tillscope.llm.quality import BASE_RULES, CURRENT, POLICIES, RULES, mask_of, quality_rules
 from tillscope.llm.simhash import near_dedup
+from tillscope.llm.spelling import spelling_variants
 from tillscope.llm.suffix_dedup import suffix_dedup
 from tillscope.llm.toxicity import toxicity
 
@@ -139,6 +140,10 @@ def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple] = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
@@ -154,4 +159,6 @@ QUERIES: dict[str, tuple] = {
     "op11_cross_tokenizer_alignment": (op11_cross_tokenizer_alignment, None),
     # compressed sizes have no SQL form; tests/llm/test_compression_quality.py checks a brute force and held-out accuracy
     "op12_quality_classifier": (op12_quality_classifier, None),
+    # DuckDB has no crc32; tests/llm/test_spelling.py compares with a brute force over all word pairs
+    "op13_spelling_variants": (op13_spelling_variants, None),
 }
