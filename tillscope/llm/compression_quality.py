@@ -107,20 +107,26 @@ def platt(d: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, dict_bytes: int = DICT_BYTES, sample_bytes: int = SAMPLE_BYTES, calibration_rows: int = CALIBRATION_ROWS) -> tuple[bytes, bytes, float, float]:
     """(good dictionary, bad dictionary, slope, intercept) from the labelled rows outside the held-out third."""
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg((F.max(label_col) > 0).cast("int").alias("_y"))
-    rows = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("_id"), text_bytes(text_col).alias("_text")).join(marks, "_id")
-    rows = materialize(rows.withColumn("_u", _unit("fold", "_id")).withColumn("_fold", F.when(_unit("split", "_id") < 0.5, "dict").otherwise("calibration")).withColumn("_n", F.length("_text")))
+    # only ids, labels and sizes are joined and kept; texts are read again for the bounded samples alone
+    narrow = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("_id"), F.length(text_bytes(text_col)).alias("_n")).join(marks, "_id")
+    rows = materialize(narrow.withColumn("_u", _unit("fold", "_id")).withColumn("_fold", F.when(_unit("split", "_id") < 0.5, "dict").otherwise("calibration")))
     sizes = {r["_y"]: r["n"] for r in rows.where("_fold = 'dict'").groupBy("_y").agg(F.sum("_n").alias("n")).collect()}
+
+    def texts_of(chosen: DataFrame) -> DataFrame:
+        ids = chosen.select("_id", "_y").dropDuplicates(["_id"])
+        return docs.select(F.col(id_col).alias("_id"), text_bytes(text_col).alias("_text")).join(F.broadcast(ids), "_id")
+
     dictionaries = {}
     for y in (0, 1):
         share = min(1.0, sample_bytes / max(1, sizes.get(y) or 0))
         chosen = rows.where((F.col("_fold") == "dict") & (F.col("_y") == y) & (F.col("_u") < share))
         # the hash threshold makes the sample about sample_bytes; the running sum makes it a hard bound
         bounded = chosen.withColumn("_upto", F.sum("_n").over(Window.orderBy("_u", "_id").rowsBetween(Window.unboundedPreceding, 0))).where(F.col("_upto") <= sample_bytes)
-        dictionaries[y] = build_dictionary([r["_text"] for r in bounded.select("_text").collect()], dict_bytes)
+        dictionaries[y] = build_dictionary([r["_text"] for r in texts_of(bounded).select("_text").collect()], dict_bytes)
     good, bad = dictionaries[1], dictionaries[0]
-    calibration = rows.where("_fold = 'calibration'").orderBy("_u", "_id").limit(calibration_rows).select("_y", "_text")
+    calibration = texts_of(rows.where("_fold = 'calibration'").orderBy("_u", "_id").limit(calibration_rows)).select("_y", "_text")
     fitted = calibration.mapInArrow(_featured(good, bad), "_y int, d double").collect()
     slope, intercept = platt(np.array([r["d"] for r in fitted], float), np.array([r["_y"] for r in fitted], float))
     return good, bad, slope, intercept
