@@ -31,6 +31,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -66,18 +67,20 @@ def _tokenizers(a_path: str, b_path: str):
     a = Tokenizer.from_file(a_path)
     a.encode_special_tokens = True
     alphabet = _byte_alphabet()
-    vocab = {i: bytes(alphabet[c] for c in s) for s, i in a.get_vocab().items()}
+    found = {i: bytes(alphabet[c] for c in s) for s, i in a.get_vocab().items()}
+    vocab = [found.get(i, b"") for i in range(max(found) + 1)]
     b = sentencepiece.SentencePieceProcessor(model_file=b_path)
     pieces = []
     for i in range(b.get_piece_size()):
         p = b.id_to_piece(i)
         pieces.append(bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode("utf-8"))
-    return a, vocab, b, pieces
+    lengths = (np.array([len(v) for v in vocab], np.int64), np.array([len(v) for v in pieces], np.int64))
+    return a, vocab, b, pieces, lengths
 
 
 def tokens(texts: list[str | None], a_path: str, b_path: str) -> list[tuple[list[int], list[int], list[int], list[int]] | None]:
     """Per text: A ids, A end offsets, B ids, B end offsets (bytes of " " + text); None where it has no tokens."""
-    a, vocab, b, pieces = _tokenizers(a_path, b_path)
+    a, vocab, b, pieces, (a_len, b_len) = _tokenizers(a_path, b_path)
     found: list = [None] * len(texts)
     live = [i for i, t in enumerate(texts) if t]
     if not live:
@@ -86,38 +89,29 @@ def tokens(texts: list[str | None], a_path: str, b_path: str) -> list[tuple[list
     b_ids = b.encode([texts[i] for i in live])
     for i, ea, eb in zip(live, a_enc, b_ids):
         whole = (" " + texts[i]).encode("utf-8", "surrogatepass")
-        ends_a, ends_b, at = [], [], 0
-        for t in ea.ids:
-            at += len(vocab[t])
-            ends_a.append(at)
-        joined_a = at == len(whole) and b"".join(vocab[t] for t in ea.ids) == whole
-        at = 0
-        for t in eb:
-            at += len(pieces[t])
-            ends_b.append(at)
-        if joined_a and at == len(whole) and b"".join(pieces[t] for t in eb) == whole:
-            found[i] = (list(ea.ids), ends_a, list(eb), ends_b)
+        ids_a, ids_b = np.array(ea.ids, np.int64), np.array(eb, np.int64)
+        ends_a, ends_b = np.cumsum(a_len[ids_a]), np.cumsum(b_len[ids_b])
+        if len(ids_a) and len(ids_b) and ends_a[-1] == len(whole) == ends_b[-1] and b"".join(map(vocab.__getitem__, ea.ids)) == whole and b"".join(map(pieces.__getitem__, eb)) == whole:
+            found[i] = (ids_a, ends_a, ids_b, ends_b)
     return found
 
 
-def _group(a: list[int], b: list[int]) -> str:
+def _group(a, b) -> str:
     return ",".join(map(str, a)) + "|" + ",".join(map(str, b))
 
 
 def fragment(a_ids, a_ends, b_ids, b_ends) -> tuple:
     """The fragment of a run of tokens (both streams ordered by end): (cut, prefix A, prefix B, closed, suffix A, suffix B)."""
-    common = sorted(set(a_ends) & set(b_ends))
-    if not common:
-        return (False, list(a_ids), list(b_ids), "", [], [])
-    groups: list[tuple[list[int], list[int]]] = [([], []) for _ in range(len(common) + 1)]
-    for ids, ends, side in ((a_ids, a_ends, 0), (b_ids, b_ends, 1)):
-        g = 0
-        for t, e in zip(ids, ends):
-            while g < len(common) and e > common[g]:
-                g += 1
-            groups[g][side].append(t)
-    closed = ";".join(_group(*g) for g in groups[1:-1])
-    return (True, groups[0][0], groups[0][1], closed, groups[-1][0], groups[-1][1])
+    a_ids, a_ends, b_ids, b_ends = (np.asarray(v, np.int64) for v in (a_ids, a_ends, b_ids, b_ends))
+    common = np.intersect1d(a_ends, b_ends)
+    if not len(common):
+        return (False, a_ids.tolist(), b_ids.tolist(), "", [], [])
+    # a token belongs to the group of the first common end at or after its own end
+    cuts = np.arange(1, len(common) + 1)
+    parts_a = np.split(a_ids, np.searchsorted(np.searchsorted(common, a_ends, "left"), cuts, "left"))
+    parts_b = np.split(b_ids, np.searchsorted(np.searchsorted(common, b_ends, "left"), cuts, "left"))
+    closed = ";".join(_group(x.tolist(), y.tolist()) for x, y in zip(parts_a[1:-1], parts_b[1:-1]))
+    return (True, parts_a[0].tolist(), parts_b[0].tolist(), closed, parts_a[-1].tolist(), parts_b[-1].tolist())
 
 
 def compose(left: tuple, right: tuple) -> tuple:
@@ -142,14 +136,12 @@ def _chunked(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, chunk_
             parts = [((False, [], [], "", [], []), 0)]
             if found:
                 a_ids, a_ends, b_ids, b_ends = found
-                n = (max(a_ends[-1], 1) + chunk_bytes - 1) // chunk_bytes
-                cut_a = [[] for _ in range(n)]
-                cut_b = [[] for _ in range(n)]
-                for t, e in zip(a_ids, a_ends):
-                    cut_a[(e - 1) // chunk_bytes].append((t, e))
-                for t, e in zip(b_ids, b_ends):
-                    cut_b[(e - 1) // chunk_bytes].append((t, e))
-                parts = [(fragment([t for t, _ in ca], [e for _, e in ca], [t for t, _ in cb], [e for _, e in cb]), k) for k, (ca, cb) in enumerate(zip(cut_a, cut_b))]
+                n = int((max(int(a_ends[-1]), 1) + chunk_bytes - 1) // chunk_bytes)
+                edges = np.arange(1, n) * chunk_bytes
+                # a token goes to the chunk that holds its last byte
+                sa_, sb_ = np.searchsorted(a_ends, edges, "right"), np.searchsorted(b_ends, edges, "right")
+                pieces = zip(np.split(a_ids, sa_), np.split(a_ends, sa_), np.split(b_ids, sb_), np.split(b_ends, sb_))
+                parts = [(fragment(*p), k) for k, p in enumerate(pieces)]
             for (cut, pa_, pb_, closed, sa, sb), k in parts:
                 for key, v in zip(out, (row, doc, k, cut, pa_, pb_, closed, sa, sb)):
                     out[key].append(v)
@@ -197,25 +189,33 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = batch.to_pydict()
         docs = {k: [] for k in ("_row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links")}
         for i in range(batch.num_rows):
-            groups = []
+            texts = []
             if d["cut"][i]:
-                groups = [(d["pa"][i], d["pb"][i])]
-                groups += [tuple([int(x) for x in side.split(",") if x] for side in g.split("|")) for g in d["closed"][i].split(";") if g]
+                texts.append(_group(d["pa"][i], d["pb"][i]))
+                if d["closed"][i]:
+                    texts.append(d["closed"][i])
                 if d["sa"][i] or d["sb"][i]:
-                    groups.append((d["sa"][i], d["sb"][i]))
+                    texts.append(_group(d["sa"][i], d["sb"][i]))
+            text = ";".join(texts)
+            # equal groups are read once: a text repeats few distinct groups many times
+            seen = Counter(text.split(";")) if text else Counter()
             links: Counter = Counter()
-            for ga, gb in groups:
+            n_a = n_b = 0
+            for g, times in seen.items():
+                left, right = g.split("|")
+                ga, gb = [int(x) for x in left.split(",") if x], [int(x) for x in right.split(",") if x]
+                n_a += times * len(ga)
+                n_b += times * len(gb)
                 ca, cb = Counter(ga), Counter(gb)
                 for x, m in ca.items():
                     for y, k in cb.items():
-                        links[(x, y)] += m * k
-            text = ";".join(_group(a, b) for a, b in groups)
+                        links[(x, y)] += times * m * k
             docs["_row"].append(d["_row"][i])
             docs["doc_id"].append(d["doc_id"][i])
-            docs["n_a"].append(sum(len(a) for a, _ in groups))
-            docs["n_b"].append(sum(len(b) for _, b in groups))
-            docs["n_groups"].append(len(groups))
-            docs["groups_sha256"].append(hashlib.sha256(text.encode()).hexdigest() if groups else "")
+            docs["n_a"].append(n_a)
+            docs["n_b"].append(n_b)
+            docs["n_groups"].append(sum(seen.values()))
+            docs["groups_sha256"].append(hashlib.sha256(text.encode()).hexdigest() if texts else "")
             docs["links"].append([{"a": x, "b": y, "m": m} for (x, y), m in sorted(links.items())])
         yield pa.RecordBatch.from_pydict(docs, schema=_FINISHED)
 
@@ -232,7 +232,7 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int = CHUN
     empty output.
     """
     spark = prepare(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     frags = materialize(rows.mapInArrow(lambda it: _chunked(it, a_path, b_path, chunk_bytes), FRAGMENT))
     finished = materialize(reduce_fragments(frags).mapInArrow(_finish, FINISHED))
     links = finished.select("_row", "doc_id", F.explode("links").alias("l")).select("_row", "doc_id", "l.a", "l.b", "l.m")
