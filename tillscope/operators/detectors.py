@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tillscope.functions.columns import finite_or_zero
-from tillscope.operators import cleaning, forest as forests, ranking
+from tillscope.operators import cleaning, forest as forests, neighbours, ranking
 from tillscope.session import materialize
 
 # Neighbours of the local factor, reference rows, random features, descent steps.
@@ -65,6 +65,24 @@ class LocalFactor:
         return df.withColumn(output, factor(*_scaled(df, self.columns, self.scaler)))
 
 
+@dataclass(frozen=True)
+class ExactLocalFactor:
+    """Local outlier factor of every row against all rows of the frame it scores: exact neighbours by a
+    distributed grid search (operators/neighbours.py), no sample, nothing on the driver."""
+
+    columns: tuple[str, ...]
+    scaler: cleaning.Scaler
+    key: str
+    k: int
+
+    def score(self, df: DataFrame, output: str) -> DataFrame:
+        """Add minus the factor: lower is more unusual (a frame of one row: -1)."""
+        names = [f"_lof{i}" for i in range(len(self.columns))]
+        scaled = df.select(F.col(self.key).cast("long").alias("_lof_key"), *[e.alias(n) for e, n in zip(_scaled(df, self.columns, self.scaler), names)])
+        found = neighbours.local_outlier_factor(scaled, "_lof_key", names, self.k).select("_lof_key", (-F.coalesce(F.col("lof"), F.lit(1.0))).alias(output))
+        return df.join(found, F.col(self.key).cast("long") == F.col("_lof_key"), "left").drop("_lof_key")
+
+
 def fit_local_factor(df: DataFrame, columns: Sequence[str], key: str, scaler: cleaning.Scaler, neighbours: int = NEIGHBOURS, reference_rows: int = REFERENCE_ROWS, seed: int = 42) -> LocalFactor:
     h = F.xxhash64(F.lit(seed), F.col(key))
     sample = df.select(h.alias("_h"), F.array(*_scaled(df, columns, scaler)).alias("_x")).orderBy("_h").limit(reference_rows).toPandas()
@@ -161,7 +179,7 @@ def fit_ensemble(df: DataFrame, columns: Sequence[str], key: str, methods: Seque
         if m == "isolation_forest":
             models[m] = forests.fit(df, columns, key, contamination=contamination, seed=seed)
         elif m == "lof":
-            models[m] = fit_local_factor(df, columns, key, scaler, seed=seed)
+            models[m] = ExactLocalFactor(tuple(columns), scaler, key, NEIGHBOURS)
         elif m == "ocsvm":
             models[m] = fit_one_class(df, columns, scaler, contamination, seed=seed)
         else:

@@ -10,7 +10,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tillscope.operators import arima, clustering, decomposition, detectors, forest, rfm, segments, series, txn_features
+from tillscope.functions.columns import finite_or_zero
+from tillscope.operators import arima, cleaning, clustering, decomposition, detectors, forest, neighbours, rfm, segments, series, txn_features
 from tillscope.plans import jobs
 from tillscope.plans.sql_parts import SEGS, TXN
 from tillscope.plans.views import purchases, rounded, sales_rows, scored_customers, table, transactions
@@ -93,6 +94,15 @@ def q_ensemble(spark, d):
     return rounded(detectors.vote(e.decisions(df), list(e.models), e.ranges).select("transaction_id", "prediction", "confidence"))
 
 
+def q_lof_scores(spark, d):
+    """Exact local outlier factor of every transaction against all others, on the scaled inputs."""
+    df = _txn_inputs(spark, d)
+    scaler = cleaning.fit_scaler(df, INPUTS, "standard", nulls_as_zero=True)
+    names = [f"s_{c}" for c in INPUTS]
+    scaled = df.select("transaction_id", *[((finite_or_zero(c) - F.lit(scaler.center[c])) / F.lit(scaler.scale[c])).alias(n) for c, n in zip(INPUTS, names)])
+    return rounded(neighbours.local_outlier_factor(scaled, "transaction_id", names, detectors.NEIGHBOURS))
+
+
 def _decisions(spark, d):
     """Three simple rules as decision columns, so that the vote itself can be compared."""
     t = transactions(spark, d)
@@ -220,6 +230,8 @@ QUERIES = {
     "forest_importance": (q_forest_importance, None),
     "forest_info": (q_forest_info, None),
     "ensemble": (q_ensemble, None),
+    # exact neighbours; tests/test_neighbours.py compares with numpy brute force
+    "lof_scores": (q_lof_scores, None),
     "ensemble_vote_hard": (
         _vote("hard"),
         f"WITH {_DEC}, v AS (SELECT transaction_id, CASE WHEN a < 0 THEN -1 ELSE 1 END + CASE WHEN b < 0 THEN -1 ELSE 1 END + CASE WHEN c < 0 THEN -1 ELSE 1 END AS v FROM de) "
