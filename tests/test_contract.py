@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 CHECKED = [
     "rfm", "rfm_segments", "segment_profile", "purchase_intervals", "spending_trend", "txn_amount_features", "txn_velocity", "txn_window_stats", "txn_percentiles", "baselines",
     "clean_orders", "outliers_remove_iqr", "scale_robust", "label_encode", "validation_report", "text_summary", "ks_drift", "roc", "threshold_sweep", "best_business_threshold",
-    "dense_series", "lags", "rolling", "forecast_metrics", "residuals", "kruskal", "overlap", "migration", "personas", "ensemble_vote_soft", "csv_round_trip",
+    "dense_series", "lags", "rolling", "forecast_metrics", "residuals", "kruskal", "overlap", "migration", "personas", "ensemble_vote_soft", "csv_round_trip", "impute_nearest",
 ]
 
 

@@ -50,3 +50,18 @@ def test_small_tables(spark):
     three = spark.createDataFrame([(1, 0.0, None), (2, 1.0, 0.0), (3, 3.0, 0.0)], "id long, a double, b double")
     got = {r.q: r.o for r in N.nearest(three, "id", ["a", "b"], 1).collect()}
     assert got == {1: 2, 2: 1, 3: 2}
+
+
+@pytest.mark.parametrize("cell_rows", [4, 10_000])
+def test_fill_nearest_equals_the_in_memory_filling(spark, cell_rows):
+    from tillscope.operators import cleaning
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 3))
+    x[rng.random(x.shape) < 0.25] = np.nan
+    x[5] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    frame = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    want = cleaning.impute_nearest(frame, ["a", "b", "c"], neighbours=3).toPandas().set_index("id").sort_index()
+    got = N.fill_nearest(frame, "id", ["a", "b", "c"], 3, cell_rows=cell_rows).toPandas().set_index("id").sort_index()
+    assert np.allclose(got[["a", "b", "c"]].to_numpy(), want[["a", "b", "c"]].to_numpy(), atol=1e-9)

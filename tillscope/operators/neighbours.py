@@ -73,50 +73,103 @@ def _nearest_in(frame: pd.DataFrame, k: int, queries: pd.DataFrame | None = None
     return pd.DataFrame({"q": np.concatenate(out_q), "o": np.concatenate(out_o), "d": np.concatenate(out_d)})
 
 
-def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(q, o, d, rank): the k nearest other rows o of every row q (Euclidean over ``columns``, nulls as 0), exact.
+def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int, cell_rows: int = CELL_ROWS, donors: DataFrame | None = None) -> DataFrame:
+    """(q, o, d, rank): the k nearest rows o of every row q (Euclidean over ``columns``, nulls as 0), exact.
 
-    Keys must be unique and not null (bigint). Fewer than k other rows: all of them.
+    o ranges over ``donors`` when given (same key and columns), else over ``df``; a row is never its own
+    neighbour (same key). Keys must be unique and not null (bigint). Fewer than k candidates: all of them.
     """
     x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns])
-    points = materialize(df.select(F.col(key).cast("long").alias("key"), x.alias("x")))
+    asked = materialize(df.select(F.col(key).cast("long").alias("key"), x.alias("x")))
+    points = asked if donors is None else materialize(donors.select(F.col(key).cast("long").alias("key"), x.alias("x")))
     n = points.count()
-    if n == 0:
-        return points.sparkSession.createDataFrame([], "q long, o long, d double, rank int")
+    empty = asked.sparkSession.createDataFrame([], "q long, o long, d double, rank int")
+    if n == 0 or asked.isEmpty():
+        return empty
     bins = max(1, math.ceil(math.sqrt(n / cell_rows)))
     first, second = F.col("x")[0], (F.col("x")[1] if len(columns) > 1 else F.lit(0.0))
     cuts0, cuts1 = _cuts(points, first, bins), (_cuts(points, second, bins) if len(columns) > 1 else [])
-    celled = materialize(points.withColumn("b0", _bin(first, cuts0)).withColumn("b1", _bin(second, cuts1)))
 
-    def own(key_, frame: pd.DataFrame) -> pd.DataFrame:
-        found = _nearest_in(frame, k)
-        size = len(frame) - 1
-        radius = found.groupby("q")["d"].max() if size >= k else pd.Series(dtype="float64")
-        r = frame["key"].map(radius).fillna(np.inf) if size >= k else pd.Series(np.inf, index=frame.index)
-        return pd.DataFrame({"key": frame["key"], "r": r.astype("float64")})
-
-    radii = celled.groupBy("b0", "b1").applyInPandas(own, "key long, r double")
-    queries = celled.join(radii, "key")
-    # the bin range a radius reaches; inf reaches every bin
-    lo0, hi0 = _bin(first - F.col("r"), cuts0), _bin(first + F.col("r"), cuts0)
-    lo1, hi1 = _bin(second - F.col("r"), cuts1), _bin(second + F.col("r"), cuts1)
-    finite = ~F.isnan(F.col("r")) & (F.col("r") < F.lit(float("inf")))
-    lo0, hi0 = F.when(finite, lo0).otherwise(0), F.when(finite, hi0).otherwise(len(cuts0))
-    lo1, hi1 = F.when(finite, lo1).otherwise(0), F.when(finite, hi1).otherwise(len(cuts1))
-    sent = queries.select("key", "x", F.explode(F.sequence(lo0, hi0)).alias("b0"), lo1.alias("_lo1"), hi1.alias("_hi1"))
-    sent = sent.select("key", "x", "b0", F.explode(F.sequence("_lo1", "_hi1")).alias("b1"))
-    both = celled.select("key", "x", "b0", "b1", F.lit(False).alias("is_query")).unionByName(sent.withColumn("is_query", F.lit(True)))
+    def celled(frame: DataFrame, is_query: bool) -> DataFrame:
+        return frame.withColumn("b0", _bin(first, cuts0)).withColumn("b1", _bin(second, cuts1)).withColumn("is_query", F.lit(is_query))
 
     def search(key_, frame: pd.DataFrame) -> pd.DataFrame:
         return _nearest_in(frame[~frame["is_query"]], k, frame[frame["is_query"]])
 
-    found = both.groupBy("b0", "b1").applyInPandas(search, "q long, o long, d double")
+    def own(key_, frame: pd.DataFrame) -> pd.DataFrame:
+        queries = frame[frame["is_query"]]
+        found = _nearest_in(frame[~frame["is_query"]], k, queries)
+        counted = found.groupby("q")["d"].agg(["max", "size"])
+        radius = counted["max"].where(counted["size"] >= k)
+        return pd.DataFrame({"key": queries["key"].to_numpy(), "r": queries["key"].map(radius).astype("float64").fillna(np.inf).to_numpy()})
+
+    base = celled(points, False)
+    queries = materialize(celled(asked, True))
+    radii = base.unionByName(queries).groupBy("b0", "b1").applyInPandas(own, "key long, r double")
+    reach = queries.join(radii, "key")
+    # the bin range a radius reaches; an unbounded radius reaches every bin
+    finite = ~F.isnan(F.col("r")) & (F.col("r") < F.lit(float("inf")))
+    lo0, hi0 = F.when(finite, _bin(first - F.col("r"), cuts0)).otherwise(0), F.when(finite, _bin(first + F.col("r"), cuts0)).otherwise(len(cuts0))
+    lo1, hi1 = F.when(finite, _bin(second - F.col("r"), cuts1)).otherwise(0), F.when(finite, _bin(second + F.col("r"), cuts1)).otherwise(len(cuts1))
+    sent = reach.select("key", "x", F.explode(F.sequence(lo0, hi0)).alias("b0"), lo1.alias("_lo1"), hi1.alias("_hi1"))
+    sent = sent.select("key", "x", "b0", F.explode(F.sequence("_lo1", "_hi1")).alias("b1"), F.lit(True).alias("is_query"))
+    found = base.unionByName(sent).groupBy("b0", "b1").applyInPandas(search, "q long, o long, d double")
     from pyspark.sql import Window
 
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d", "o")))
     return ranked.where(F.col("rank") <= k)
 
 
+def fill_nearest(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Fill nulls of ``columns`` with the mean of the k nearest donors under the nan-Euclidean distance, exactly, at any size.
+
+    Distance of two rows: sqrt(len(columns) / shared * sum over shared known columns of squared differences);
+    no shared column: no distance. Donors of a column are the other rows where it is known; ties by key.
+    A column without any donor in reach gets the column mean (null for an all-null column). Rows are
+    grouped by their pattern of known columns (at most 2^len(columns) patterns; only those that occur);
+    for each pair of query and donor patterns the search runs in the shared columns, scaled, and the k best
+    per pattern pair are merged per missing column. Keys must be unique and not null.
+    """
+    columns = list(columns)
+    flags = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in columns]
+    pattern = sum((F.when(f, 1 << i).otherwise(0) for i, f in enumerate(flags)), F.lit(0))
+    rows = materialize(df.select(F.col(key).cast("long").alias(key), *[F.when(f, F.col(c).cast("double")).alias(c) for f, c in zip(flags, columns)]).withColumn("_p", pattern))
+    found = [r["_p"] for r in rows.select("_p").distinct().collect()]
+    full = (1 << len(columns)) - 1
+    parts = []
+    for qp in found:
+        missing = [i for i in range(len(columns)) if not qp >> i & 1]
+        if qp == 0 or not missing:
+            continue
+        for dp in found:
+            shared = [columns[i] for i in range(len(columns)) if qp >> i & 1 and dp >> i & 1]
+            useful = [columns[i] for i in missing if dp >> i & 1]
+            if not shared or not useful:
+                continue
+            scale = math.sqrt(len(columns) / len(shared))
+            pairs = nearest(rows.where(F.col("_p") == qp), key, shared, k, cell_rows, donors=rows.where(F.col("_p") == dp))
+            parts.append(pairs.select("q", "o", (F.col("d") * scale).alias("d"), F.lit(dp).alias("_dp")))
+    means = rows.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    if not parts:
+        return rows.select(key, *[F.coalesce(F.col(c), F.lit(means[c])).alias(c) for c in columns])
+    cands = parts[0]
+    for p in parts[1:]:
+        cands = cands.unionByName(p)
+    donors = rows.select(F.col(key).alias("o"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(columns)])
+    cands = materialize(cands.join(donors, "o"))
+    from pyspark.sql import Window
+
+    filled = {}
+    for i, c in enumerate(columns):
+        usable = cands.where(F.col("_dp").bitwiseAND(1 << i) != 0)
+        best = usable.withColumn("_r", F.row_number().over(Window.partitionBy("q").orderBy("d", "o"))).where(F.col("_r") <= k)
+        filled[c] = best.groupBy(F.col("q").alias(key)).agg(F.avg(f"_v{i}").alias(f"_f{i}"))
+    out = rows
+    for i, c in enumerate(columns):
+        out = out.join(filled[c], key, "left").withColumn(c, F.coalesce(F.col(c), F.col(f"_f{i}"), F.lit(means[c]))).drop(f"_f{i}")
+    return out.select(key, *columns)
+
+
 def local_outlier_factor(df: DataFrame, key: str, columns: Sequence[str], k: int = 20, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(key, k_distance, lrd, lof) of every row against all other rows; lof near 1 is usual, larger is unusual.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillscope.functions.columns import finite_or_zero
-from tillscope.operators import cleaning, distributions, quality
+from tillscope.operators import cleaning, distributions, neighbours, quality
 from tillscope.plans.sql_parts import TXN
 from tillscope.plans.views import rounded, table, transactions
 
@@ -76,6 +76,32 @@ def _imputed(numeric):
     return query
 
 
+def q_impute_nearest(spark, d):
+    """Nulls of n_chars, quality and toxic filled from the 5 nearest documents (nan-Euclidean), exactly, over all documents."""
+    df = labelled(spark, d).select("doc_id", *[F.col(c).cast("double").alias(c) for c in _NEAREST])
+    return rounded(neighbours.fill_nearest(df, "doc_id", _NEAREST, 5))
+
+
+_NEAREST = ["n_chars", "quality", "toxic"]
+
+
+def _nearest_sql() -> str:
+    both = lambda c: f"(q.{c} IS NOT NULL AND o.{c} IS NOT NULL)"
+    shared = " + ".join(f"CAST({both(c)} AS INTEGER)" for c in _NEAREST)
+    square = " + ".join(f"CASE WHEN {both(c)} THEN (q.{c} - o.{c}) * (q.{c} - o.{c}) ELSE 0 END" for c in _NEAREST)
+    fills = ",\n".join(
+        f"f_{c} AS (SELECT q, avg(v) AS v FROM (SELECT q, o.{c} AS v, row_number() OVER (PARTITION BY q ORDER BY d, o) AS r FROM pairs JOIN lab o ON o.doc_id = pairs.o WHERE o.{c} IS NOT NULL) WHERE r <= 5 GROUP BY q)"
+        for c in _NEAREST
+    )
+    cols = ", ".join(f"round(coalesce(lab.{c}, f_{c}.v, (SELECT avg({c}) FROM lab)), 6) + 0.0 AS {c}" for c in _NEAREST)
+    joins = " ".join(f"LEFT JOIN f_{c} ON f_{c}.q = lab.doc_id" for c in _NEAREST)
+    return (
+        f"WITH lab AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars, CAST(quality AS DOUBLE) AS quality, CAST(toxic AS DOUBLE) AS toxic FROM documents LEFT JOIN labels USING (doc_id)),\n"
+        f"pairs AS (SELECT q.doc_id AS q, o.doc_id AS o, sqrt({len(_NEAREST)}.0 / ({shared}) * ({square})) AS d FROM lab q JOIN lab o ON q.doc_id <> o.doc_id WHERE ({shared}) > 0),\n"
+        f"{fills}\nSELECT lab.doc_id, {cols} FROM lab {joins}"
+    )
+
+
 def q_label(spark, d):
     df = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     return rounded(cleaning.encode(df, ["o_orderpriority", "o_orderstatus"], "label", tie="o_orderkey"))
@@ -220,6 +246,7 @@ QUERIES = {
     **{f"scale_{m}": (_scaled(m), _scale_sql(m)) for m in _SCALE},
     "scale_inverse": (q_inverse, "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, round(l_quantity, 2) AS l_quantity, round(l_extendedprice, 2) AS l_extendedprice, round(l_discount, 2) AS l_discount, round(l_tax, 2) AS l_tax FROM lineitem"),
     **{f"impute_{m}": (_imputed(m), _impute_sql(m)) for m in ("mean", "median", "most_frequent")},
+    "impute_nearest": (q_impute_nearest, _nearest_sql()),
     "label_encode": (
         q_label,
         "SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS BIGINT) AS o_orderpriority, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS BIGINT) AS o_orderstatus FROM orders",
