@@ -39,6 +39,7 @@ from tillscope.llm.common import materialize, prepare, slices
 
 CHUNK_BYTES = 1 << 14
 SLICE_BYTES = 1 << 20  # text bytes tokenized at once in a task, so that a task's memory stays bounded
+FOLDED = "_row long, doc_id long, chunk long, _n long, cut boolean, pa array<int>, pb array<int>, closed string, sa array<int>, sb array<int>"
 FRAGMENT = "_row long, doc_id long, chunk long, cut boolean, pa array<int>, pb array<int>, closed string, sa array<int>, sb array<int>"
 
 
@@ -131,7 +132,7 @@ def compose(left: tuple, right: tuple) -> tuple:
 def _chunked(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     for batch in (s for whole in batches for s in slices(whole, "text", SLICE_BYTES)):
         rows, ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        out: dict[str, list] = {k: [] for k in ("_row", "doc_id", "chunk", "cut", "pa", "pb", "closed", "sa", "sb")}
+        out: dict[str, list] = {k: [] for k in ("_row", "doc_id", "chunk", "_n", "cut", "pa", "pb", "closed", "sa", "sb", "n_a", "n_b", "n_groups", "groups_sha256", "links")}
         for row, doc, found in zip(rows, ids, tokens(texts, a_path, b_path)):
             parts = [((False, [], [], "", [], []), 0)]
             if found:
@@ -142,13 +143,20 @@ def _chunked(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, chunk_
                 sa_, sb_ = np.searchsorted(a_ends, edges, "right"), np.searchsorted(b_ends, edges, "right")
                 pieces = zip(np.split(a_ids, sa_), np.split(a_ends, sa_), np.split(b_ids, sb_), np.split(b_ends, sb_))
                 parts = [(fragment(*p), k) for k, p in enumerate(pieces)]
+            if len(parts) == 1:
+                # one chunk: the fragment is the whole text, finished here; nothing of it is written but its result
+                for key, v in zip(out, (row, doc, 0, 1, False, [], [], "", [], [], *summary(parts[0][0]))):
+                    out[key].append(v)
+                continue
             for (cut, pa_, pb_, closed, sa, sb), k in parts:
-                for key, v in zip(out, (row, doc, k, cut, pa_, pb_, closed, sa, sb)):
+                for key, v in zip(out, (row, doc, k, len(parts), cut, pa_, pb_, closed, sa, sb, None, None, None, None, None)):
                     out[key].append(v)
-        yield pa.RecordBatch.from_pydict(out, schema=_FRAGMENT_ARROW)
+        yield pa.RecordBatch.from_pydict(out, schema=_CHUNKED_ARROW)
 
 
-_FRAGMENT_ARROW = pa.schema([("_row", pa.int64()), ("doc_id", pa.int64()), ("chunk", pa.int64()), ("cut", pa.bool_()), ("pa", pa.list_(pa.int32())), ("pb", pa.list_(pa.int32())), ("closed", pa.string()), ("sa", pa.list_(pa.int32())), ("sb", pa.list_(pa.int32()))])
+_LINKS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("m", pa.int64())]))
+_CHUNKED_ARROW = pa.schema([("_row", pa.int64()), ("doc_id", pa.int64()), ("chunk", pa.int64()), ("_n", pa.int64()), ("cut", pa.bool_()), ("pa", pa.list_(pa.int32())), ("pb", pa.list_(pa.int32())), ("closed", pa.string()), ("sa", pa.list_(pa.int32())), ("sb", pa.list_(pa.int32())), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("groups_sha256", pa.string()), ("links", _LINKS)])
+CHUNKED = FRAGMENT.replace("chunk long,", "chunk long, _n long,") + ", n_a long, n_b long, n_groups long, groups_sha256 string, links array<struct<a:int,b:int,m:long>>"
 
 
 def _fold(key, frame):
@@ -161,62 +169,58 @@ def _fold(key, frame):
     for p in parts[1:]:
         done = compose(done, p)
     first = frame.iloc[0]
-    return pd.DataFrame([{"_row": first["_row"], "doc_id": first["doc_id"], "chunk": int(first["chunk"]) // 2, "cut": done[0], "pa": done[1], "pb": done[2], "closed": done[3], "sa": done[4], "sb": done[5]}])
+    return pd.DataFrame([{"_row": first["_row"], "doc_id": first["doc_id"], "chunk": int(first["chunk"]) // 2, "_n": (int(first["_n"]) + 1) // 2, "cut": done[0], "pa": done[1], "pb": done[2], "closed": done[3], "sa": done[4], "sb": done[5]}])
 
 
 def reduce_fragments(frags: DataFrame) -> DataFrame:
-    """Compose all fragments of each row by a tree over chunk numbers; rows with one fragment skip it."""
-    counted = frags.withColumn("_n", F.count(F.lit(1)).over(_by_row()))
-    done = counted.where("_n = 1").drop("_n")
-    open_ = materialize(counted.where("_n > 1").drop("_n"))
+    """Compose the fragments of each row (``_n`` of them, chunks 0 to _n - 1) by a tree over chunk numbers:
+    each level pairs chunk 2i with 2i + 1, so a row has ceil(_n / 2) fragments after it."""
+    done = None
+    open_ = frags
     while not open_.isEmpty():
-        level = open_.groupBy("_row", F.floor(F.col("chunk") / 2).alias("_pair")).applyInPandas(_fold, FRAGMENT).withColumn("_n", F.count(F.lit(1)).over(_by_row()))
-        level = materialize(level)
-        done = done.unionByName(level.where("_n = 1").drop("_n"))
-        open_ = level.where("_n > 1").drop("_n")
-    return done
-
-
-def _by_row():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("_row")
+        level = materialize(open_.groupBy("_row", F.floor(F.col("chunk") / 2).alias("_pair")).applyInPandas(_fold, FOLDED))
+        ended = level.where("_n = 1").drop("_n")
+        done = ended if done is None else done.unionByName(ended)
+        open_ = level.where("_n > 1")
+    return done if done is not None else frags.drop("_n")
+
+
+def summary(frag: tuple) -> tuple:
+    """From a row's single (whole) fragment: n_a, n_b, n_groups, groups_sha256 and its distinct linked pairs with multiplicity."""
+    cut, pa_, pb_, closed, sa, sb = frag
+    texts = []
+    if cut:
+        texts.append(_group(pa_, pb_))
+        if closed:
+            texts.append(closed)
+        if len(sa) or len(sb):
+            texts.append(_group(sa, sb))
+    text = ";".join(texts)
+    # equal groups are read once: a text repeats few distinct groups many times
+    seen = Counter(text.split(";")) if text else Counter()
+    links: Counter = Counter()
+    n_a = n_b = 0
+    for g, times in seen.items():
+        left, right = g.split("|")
+        ga, gb = [int(x) for x in left.split(",") if x], [int(x) for x in right.split(",") if x]
+        n_a += times * len(ga)
+        n_b += times * len(gb)
+        ca, cb = Counter(ga), Counter(gb)
+        for x, m in ca.items():
+            for y, k in cb.items():
+                links[(x, y)] += times * m * k
+    digest = hashlib.sha256(text.encode()).hexdigest() if texts else ""
+    return n_a, n_b, sum(seen.values()), digest, [{"a": x, "b": y, "m": m} for (x, y), m in sorted(links.items())]
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From each row's single fragment: its counts, its groups' digest and its distinct linked pairs."""
     for batch in batches:
         d = batch.to_pydict()
         docs = {k: [] for k in ("_row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links")}
         for i in range(batch.num_rows):
-            texts = []
-            if d["cut"][i]:
-                texts.append(_group(d["pa"][i], d["pb"][i]))
-                if d["closed"][i]:
-                    texts.append(d["closed"][i])
-                if d["sa"][i] or d["sb"][i]:
-                    texts.append(_group(d["sa"][i], d["sb"][i]))
-            text = ";".join(texts)
-            # equal groups are read once: a text repeats few distinct groups many times
-            seen = Counter(text.split(";")) if text else Counter()
-            links: Counter = Counter()
-            n_a = n_b = 0
-            for g, times in seen.items():
-                left, right = g.split("|")
-                ga, gb = [int(x) for x in left.split(",") if x], [int(x) for x in right.split(",") if x]
-                n_a += times * len(ga)
-                n_b += times * len(gb)
-                ca, cb = Counter(ga), Counter(gb)
-                for x, m in ca.items():
-                    for y, k in cb.items():
-                        links[(x, y)] += times * m * k
-            docs["_row"].append(d["_row"][i])
-            docs["doc_id"].append(d["doc_id"][i])
-            docs["n_a"].append(n_a)
-            docs["n_b"].append(n_b)
-            docs["n_groups"].append(sum(seen.values()))
-            docs["groups_sha256"].append(hashlib.sha256(text.encode()).hexdigest() if texts else "")
-            docs["links"].append([{"a": x, "b": y, "m": m} for (x, y), m in sorted(links.items())])
+            stats = summary((d["cut"][i], d["pa"][i], d["pb"][i], d["closed"][i], d["sa"][i], d["sb"][i]))
+            for k, v in zip(docs, (d["_row"][i], d["doc_id"][i], *stats)):
+                docs[k].append(v)
         yield pa.RecordBatch.from_pydict(docs, schema=_FINISHED)
 
 
@@ -233,8 +237,10 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int = CHUN
     """
     spark = prepare(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    frags = materialize(rows.mapInArrow(lambda it: _chunked(it, a_path, b_path, chunk_bytes), FRAGMENT))
-    finished = materialize(reduce_fragments(frags).mapInArrow(_finish, FINISHED))
+    chunked = materialize(rows.mapInArrow(lambda it: _chunked(it, a_path, b_path, chunk_bytes), CHUNKED))
+    whole = chunked.where("_n = 1").select("_row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links")
+    parts = chunked.where("_n > 1").select(*[c.split()[0] for c in FOLDED.split(", ")])
+    finished = whole.unionByName(materialize(reduce_fragments(parts).mapInArrow(_finish, FINISHED)))
     links = finished.select("_row", "doc_id", F.explode("links").alias("l")).select("_row", "doc_id", "l.a", "l.b", "l.m")
     pair_counts = links.select("doc_id", "a", "b").dropDuplicates().groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_docs"))
     best = pair_counts.groupBy("a").agg(F.max("n_docs").alias("best"))
