@@ -64,9 +64,9 @@ WITH d AS (
          CASE WHEN source_size = 0 THEN 0 ELSE (CASE WHEN above THEN cap::DOUBLE ELSE w * t END) / source_size END AS rate
   FROM filled, level
 ), drawn AS (
-  SELECT doc_id, size, source, source_size, target, rate, rate - floor(rate) AS inclusion,
+  SELECT doc_id, size, d.source, source_size, target, rate, rate - floor(rate) AS inclusion,
          (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u
-  FROM d JOIN goals USING (source)
+  FROM d JOIN goals ON d.source IS NOT DISTINCT FROM goals.source
 ), ranked AS (
   SELECT *, CASE WHEN inclusion > 0 THEN (u / (1 - u)) / (inclusion / (1 - inclusion)) END AS rank FROM drawn
 ), cut AS (
