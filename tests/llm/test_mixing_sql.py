@@ -21,3 +21,18 @@ def test_sql_keeps_null_source_and_equals_operator(shared):
     for k, (size, source_size, target, taken) in got.items():
         assert (size, source_size, taken) == (want[k][0], want[k][1], want[k][3])
         assert target == pytest.approx(want[k][2])
+
+
+def test_exact_dedup_sql_keeps_one_of_repeated_rows(shared):
+    from collections import Counter
+
+    from tillscope.llm import exact_dedup as E
+    from tillscope.llm.queries import OP1_SQL
+
+    rows = [(1, "x"), (1, "x"), (2, "x"), (2, "x"), (None, "y"), (None, "y"), (3, None), (4, ""), (5, "z")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = Counter(tuple(r) for r in con.execute(f"SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM ({OP1_SQL})").fetchall())
+    got = Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in E.exact_dedup(shared.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == want

@@ -29,7 +29,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-       doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+       row_number() OVER (g ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
