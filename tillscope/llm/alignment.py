@@ -135,7 +135,9 @@ def _chunked(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, chunk_
         out: dict[str, list] = {k: [] for k in ("_row", "doc_id", "chunk", "_n", "cut", "pa", "pb", "closed", "sa", "sb", "n_a", "n_b", "n_groups", "groups_sha256", "links")}
         for row, doc, found in zip(rows, ids, tokens(texts, a_path, b_path)):
             parts = [((False, [], [], "", [], []), 0)]
-            if found:
+            if found and int(found[1][-1]) <= chunk_bytes:
+                parts = [(None, 0)]
+            elif found:
                 a_ids, a_ends, b_ids, b_ends = found
                 n = int((max(int(a_ends[-1]), 1) + chunk_bytes - 1) // chunk_bytes)
                 edges = np.arange(1, n) * chunk_bytes
@@ -144,14 +146,17 @@ def _chunked(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, chunk_
                 pieces = zip(np.split(a_ids, sa_), np.split(a_ends, sa_), np.split(b_ids, sb_), np.split(b_ends, sb_))
                 parts = [(fragment(*p), k) for k, p in enumerate(pieces)]
             if len(parts) == 1:
-                # one chunk: the fragment is the whole text, finished here; nothing of it is written but its result
-                for key, v in zip(out, (row, doc, 0, 1, False, [], [], "", [], [], *summary(parts[0][0]))):
+                # one chunk: the whole text is finished here; nothing of it is written but its result
+                stats = whole_summary(*found) if found else (0, 0, 0, "", (np.zeros(0, np.int64),) * 3)
+                for key, v in zip(out, (row, doc, 0, 1, False, [], [], "", [], [], *stats)):
                     out[key].append(v)
                 continue
             for (cut, pa_, pb_, closed, sa, sb), k in parts:
                 for key, v in zip(out, (row, doc, k, len(parts), cut, pa_, pb_, closed, sa, sb, None, None, None, None, None)):
                     out[key].append(v)
-        yield pa.RecordBatch.from_pydict(out, schema=_CHUNKED_ARROW)
+        links = _links_array(out.pop("links"))
+        plain = pa.RecordBatch.from_pydict(out, schema=_CHUNKED_ARROW.remove(_CHUNKED_ARROW.get_field_index("links")))
+        yield plain.append_column(_CHUNKED_ARROW.field("links"), links)
 
 
 _LINKS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("m", pa.int64())]))
@@ -213,6 +218,41 @@ def summary(frag: tuple) -> tuple:
     return n_a, n_b, sum(seen.values()), digest, [{"a": x, "b": y, "m": m} for (x, y), m in sorted(links.items())]
 
 
+def whole_summary(a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_ends: np.ndarray) -> tuple:
+    """``summary`` of a whole text's fragment, straight from its token arrays: (n_a, n_b, n_groups, digest, (A, B, m) arrays)."""
+    common = np.intersect1d(a_ends, b_ends)
+    ga, gb = np.searchsorted(common, a_ends, "left"), np.searchsorted(common, b_ends, "left")
+    na, nb = np.bincount(ga, minlength=len(common)), np.bincount(gb, minlength=len(common))
+    # the digest text: per group its A ids, "|", its B ids, groups joined by ";"
+    start = np.concatenate([[0], np.cumsum(na + nb)[:-1]])
+    first_a, first_b = np.concatenate([[0], np.cumsum(na)[:-1]]), np.concatenate([[0], np.cumsum(nb)[:-1]])
+    pos_a = start[ga] + np.arange(len(a_ids)) - first_a[ga]
+    pos_b = start[gb] + na[gb] + np.arange(len(b_ids)) - first_b[gb]
+    values = np.empty(len(a_ids) + len(b_ids), np.int64)
+    values[pos_a], values[pos_b] = a_ids, b_ids
+    seps = np.full(len(values), ",", dtype="<U1")
+    seps[start + na - 1] = "|"
+    seps[start + na + nb - 1] = ";"
+    text = "".join(map(str.__add__, map(str, values.tolist()), seps.tolist()))[:-1]
+    # links: every A token with every B token of its group, counted per distinct pair
+    reps = nb[ga]
+    pair_a = np.repeat(a_ids, reps)
+    offset = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+    pair_b = b_ids[np.repeat(first_b[ga], reps) + offset]
+    keys, m = np.unique(pair_a * (1 << 32) + pair_b, return_counts=True)
+    return len(a_ids), len(b_ids), len(common), hashlib.sha256(text.encode()).hexdigest(), (keys >> 32, keys & 0xFFFFFFFF, m)
+
+
+def _links_array(found: list[tuple[np.ndarray, np.ndarray, np.ndarray] | None]) -> pa.Array:
+    sizes = [0 if f is None else len(f[0]) for f in found]
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    parts = [f for f in found if f is not None and len(f[0])]
+    cat = (lambda i, t: np.concatenate([p[i] for p in parts]).astype(t)) if parts else (lambda i, t: np.zeros(0, t))
+    inner = pa.StructArray.from_arrays([pa.array(cat(0, np.int32)), pa.array(cat(1, np.int32)), pa.array(cat(2, np.int64))], names=["a", "b", "m"])
+    mask = pa.array([f is None for f in found])
+    return pa.ListArray.from_arrays(pa.array(offsets), inner, mask=mask)
+
+
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         d = batch.to_pydict()
