@@ -20,8 +20,8 @@ def test_query_equals_sql(shared, name):
     assert difference(contract.queries()[name](shared, SF), duck(SF), contract.oracle_sql()[name]) is None
 
 
-def test_ten_operators_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and "pipeline" in contract.queries()
+def test_thirteen_operators_are_registered():
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and "pipeline" in contract.queries()
 
 
 def test_stages(shared, docs_rows):
