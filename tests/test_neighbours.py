@@ -65,3 +65,33 @@ def test_fill_nearest_equals_the_in_memory_filling(spark, cell_rows):
     want = cleaning.impute_nearest(frame, ["a", "b", "c"], neighbours=3).toPandas().set_index("id").sort_index()
     got = N.fill_nearest(frame, "id", ["a", "b", "c"], 3, cell_rows=cell_rows).toPandas().set_index("id").sort_index()
     assert np.allclose(got[["a", "b", "c"]].to_numpy(), want[["a", "b", "c"]].to_numpy(), atol=1e-9)
+
+
+def test_equal_rows_are_searched_once_and_cells_cut_every_column(spark, monkeypatch):
+    """A third of the rows is equal, and the first two columns hold one value: the search stays near linear."""
+    rng = np.random.default_rng(11)
+    x = np.hstack([np.ones((3000, 2)), rng.normal(size=(3000, 3))])
+    x[::3] = [1.0, 1.0, 0.1, 0.2, 0.3]
+    frame = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id long, a double, b double, c double, d double, e double")
+    met = spark.sparkContext.accumulator(0)
+    plain = N._found
+
+    def counted(names, k):
+        search = plain(names, k)
+
+        def both(table):
+            asked = table.column("_loc").null_count
+            met.add(asked * (table.num_rows - asked))
+            return search(table)
+
+        return both
+
+    monkeypatch.setattr(N, "_found", counted)
+    got = {}
+    for r in N.nearest(frame, "id", list("abcde"), 4, cell_rows=100).collect():
+        got.setdefault(r.q, []).append((r.d, r.o))
+    assert met.value < 0.5 * len(x) ** 2  # all pairs before: one cell, since the first two columns cannot be cut
+    for i in [*range(0, 3000, 97), 2997]:
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        want = sorted((d[j], j) for j in range(len(x)) if j != i)[:4]
+        assert [o for _, o in sorted(got[i])] == [j for _, j in want]

@@ -1,123 +1,305 @@
 """Exact k nearest neighbours of every row among all rows, and the local outlier factor on them.
 
 Plan (two rounds, exact at any size):
-1. Cells. The first two coordinates are cut at their quantiles into G bins each, G = ceil(sqrt(rows /
-   cell_rows)), so a cell holds about ``cell_rows`` rows. Only the G - 1 cut points per coordinate
-   travel to the tasks; the cells themselves are never listed on the driver.
-2. Radius. Inside its own cell each row takes its k-th smallest distance: an upper bound of its true
-   k-distance (unbounded when the cell holds k rows or fewer).
-3. Search. Each row goes, as a query, to every cell whose bin ranges lie within its radius of it (the
-   distance in two coordinates never exceeds the whole distance, so no true neighbour is missed); a
-   row with an unbounded radius goes to all cells of its row of bins and beyond, i.e. to every bin range.
-   Per cell, the queries meet the cell's rows in numpy blocks and keep their k nearest there; per query,
-   the k nearest of all visited cells remain. Ties are broken by the key.
+1. Locations. Rows equal in all coordinates are one location: it is searched once, and of its keys only
+   the k + 1 smallest can be anybody's neighbour, so heavy groups of equal rows stay linear.
+2. Cells. Median cuts of the widest coordinate, in all coordinates in turn, from a hash sample of about
+   SAMPLE_PER_CELL locations per cell (at most MAX_CELLS cells). The cuts only spread the work; every
+   row is in a cell and the least and largest coordinates of a cell (its box) come from all its rows.
+3. Radius. Inside its own cell each location takes its (k + 1)-th smallest distance: an upper bound of the
+   true one (unbounded when the cell holds fewer).
+4. Search. Each location goes, as a query, to every cell whose box lies within its radius; per location,
+   the k + 1 nearest of all visited cells remain. Each row then leaves out its own key. Ties are broken
+   by the key.
+
+In a cell, rows and queries are put in blocks by the same median cuts; a block of queries meets the
+blocks whose boxes are in reach by one matrix product, which only sorts out what is too far: the
+distances of what remains are computed from the differences.
 
 LOF (Breunig et al. 2000): reach(p, o) = max(k-distance(o), d(p, o)); lrd(p) = 1 / (mean reach + 1e-10);
 lof(p) = mean lrd(o) / lrd(p) over p's k neighbours, all by joins and aggregates.
-
-Limits: a cell holds the rows of its bins in one task; rows equal in both cut coordinates cannot be cut
-apart, so a value shared by a large part of the table makes one large cell (see README).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tillscope.session import materialize
 
-CELL_ROWS = 2_000
-BLOCK = 512
-
-
-def _bin(value: Column, cuts: list[float]) -> Column:
-    if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < value))
-
-
-def _cuts(df: DataFrame, column: Column, bins: int) -> list[float]:
-    if bins <= 1:
-        return []
-    q = df.select(column.alias("_c")).approxQuantile("_c", [i / bins for i in range(1, bins)], 1e-4)
-    return sorted(set(q))
-
-
-def _nearest_in(frame: pd.DataFrame, k: int, queries: pd.DataFrame | None = None) -> pd.DataFrame:
-    """The k nearest rows of ``frame`` (excluding the same key) of each query, ties by key: (q, o, d)."""
-    queries = frame if queries is None else queries
-    if frame.empty or queries.empty:
-        return pd.DataFrame({"q": pd.Series(dtype="int64"), "o": pd.Series(dtype="int64"), "d": pd.Series(dtype="float64")})
-    order = np.argsort(frame["key"].to_numpy(), kind="stable")
-    keys = frame["key"].to_numpy()[order]
-    points = np.stack(frame["x"].to_numpy())[order]
-    qkeys = queries["key"].to_numpy()
-    qx = np.stack(queries["x"].to_numpy())
-    out_q, out_o, out_d = [], [], []
-    for s in range(0, len(qx), BLOCK):
-        block = qx[s : s + BLOCK]
-        d = np.sqrt(np.maximum(((block[:, None, :] - points[None, :, :]) ** 2).sum(-1), 0))
-        d[qkeys[s : s + BLOCK, None] == keys[None, :]] = np.inf
-        take = min(k, len(keys))
-        # stable sort by distance keeps the key order among ties
-        best = np.argsort(d, axis=1, kind="stable")[:, :take]
-        dist = np.take_along_axis(d, best, 1)
-        ok = np.isfinite(dist)
-        out_q.append(np.repeat(qkeys[s : s + BLOCK], take).reshape(-1, take)[ok])
-        out_o.append(keys[best][ok])
-        out_d.append(dist[ok])
-    return pd.DataFrame({"q": np.concatenate(out_q), "o": np.concatenate(out_o), "d": np.concatenate(out_d)})
+CELL_ROWS = 8_000
+MAX_CELLS = 4_096
+SAMPLE_PER_CELL = 64
+BLOCK = 256
+PRODUCT_ROWS = 16_384  # points that one matrix product takes
+FOUND = "_loc long, _near array<struct<d:double,o:bigint,w:bigint>>"
+_LAST = np.iinfo(np.int64).max
+
+
+def _halves(x: np.ndarray) -> tuple[int, float] | None:
+    """Column and value of a cut near the median of the widest column; None if all rows are equal."""
+    spread = x.std(0)
+    for c in np.argsort(-spread, kind="stable"):
+        column = x[:, c]
+        cut = np.median(column)
+        if cut >= column.max():  # the upper half is one value: cut below it
+            below = column[column < cut]
+            if not len(below):
+                continue
+            cut = below.max()
+        return int(c), float(cut)
+    return None
+
+
+def _cuts(x: np.ndarray, cells: int) -> tuple[np.ndarray, ...]:
+    """A tree of median cuts with about ``cells`` leaves: column (-1: a leaf), cut, left, right, number of the leaf."""
+    nodes: list[list] = [[-1, 0.0, 0, 0, 0]]
+    todo, leaves = [(0, x, cells)], 0
+    while todo:
+        at, rows, parts = todo.pop()
+        half = _halves(rows) if parts > 1 and len(rows) > 1 else None
+        if half is None:
+            nodes[at][4], leaves = leaves, leaves + 1
+            continue
+        low = rows[:, half[0]] <= half[1]
+        nodes[at][:4] = [*half, len(nodes), len(nodes) + 1]
+        todo += [(len(nodes), rows[low], parts - parts // 2), (len(nodes) + 1, rows[~low], parts // 2)]
+        nodes += [[-1, 0.0, 0, 0, 0], [-1, 0.0, 0, 0, 0]]
+    return tuple(np.array(v, t) for v, t in zip(zip(*nodes), ("int64", "float64", "int64", "int64", "int64")))
+
+
+def _cell_of(x: np.ndarray, tree: tuple[np.ndarray, ...]) -> np.ndarray:
+    column, cut, left, right, leaf = tree
+    at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+    while True:
+        inner = column[at] >= 0
+        if not inner.any():
+            return leaf[at]
+        low = x[rows, np.maximum(column[at], 0)] <= cut[at]
+        at = np.where(inner, np.where(low, left[at], right[at]), at)
+
+
+def _blocks(x: np.ndarray) -> list[np.ndarray]:
+    """Row numbers in blocks of at most BLOCK rows (more only where rows are equal), near rows together."""
+    out, todo = [], [np.arange(len(x))]
+    while todo:
+        rows = todo.pop()
+        half = _halves(x[rows]) if len(rows) > BLOCK else None
+        if half is None:
+            out += [rows[i : i + BLOCK] for i in range(0, len(rows), BLOCK)]
+            continue
+        low = x[rows, half[0]] <= half[1]
+        todo += [rows[~low], rows[low]]
+    return out
+
+
+def _box_distance(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of every row to every box."""
+    out = np.zeros((len(x), len(low)))
+    for c in range(x.shape[1]):
+        v = x[:, c, None]
+        gap = np.maximum(np.maximum(low[None, :, c] - v, v - high[None, :, c]), 0)
+        out += gap * gap
+    return out
+
+
+def _nearest_in(points: np.ndarray, keys: np.ndarray, queries: np.ndarray, radius: np.ndarray, k: int, distances_only: bool = False):
+    """The k nearest points of each query that lie within its radius, ties by key.
+
+    Gives (query, point, distance) sorted by query, distance and key; with ``distances_only`` an upper
+    bound of each query's k-th smallest distance (infinite with fewer than k points).
+    """
+    bound = radius.astype("float64").copy()
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    if len(points) and len(queries):
+        center = points.mean(0)
+        blocks = _blocks(points)
+        low, high = (np.array([f(points[b], axis=0) for b in blocks]) for f in (np.min, np.max))
+        sizes = np.array([len(b) for b in blocks])
+        shifted = points - center
+        square = (shifted * shifted).sum(1)
+        slack = 1e-12 * max(square.max(), 1e-300)
+
+        def distance(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            moved = queries[q] - center
+            own = (moved * moved).sum(1)
+            return own[:, None] + square[None, rows] - 2 * (moved @ shifted[rows].T) - 1e-12 * own[:, None] - slack  # a lower bound
+
+        for q in _blocks(queries):
+            gaps = _box_distance(queries[q], low, high)
+            # the boxes nearest to the block give a first bound
+            order = np.argsort(gaps.min(0), kind="stable")
+            first = order[: max(2, int(np.searchsorted(np.cumsum(sizes[order]), k)) + 1)]
+            rows = np.concatenate([blocks[b] for b in first])
+            if len(rows) >= k:
+                lower = distance(q, rows)
+                near = np.partition(lower, k - 1, axis=1)[:, k - 1]
+                moved = queries[q] - center
+                # from the lower bound back to an upper one
+                upper = np.maximum(near, 0) + 4e-12 * (moved * moved).sum(1) + 4 * slack
+                bound[q] = np.minimum(bound[q], np.sqrt(upper) * (1 + 1e-12))
+            if distances_only and len(first) == len(blocks):
+                continue
+            reach = bound[q] ** 2 * (1 + 1e-12)
+            wanted = np.flatnonzero((gaps <= reach[:, None]).any(0))
+            parts, start = [], 0
+            while start < len(wanted):  # bounds the matrix of distances
+                stop = start + max(1, int(np.searchsorted(np.cumsum(sizes[wanted[start:]]), PRODUCT_ROWS, side="right")))
+                rows = np.concatenate([blocks[b] for b in wanted[start:stop]])
+                qi, pi = np.nonzero(distance(q, rows) <= reach[:, None])
+                pi = rows[pi]
+                d = np.sqrt(((queries[q[qi]] - points[pi]) ** 2).sum(-1))
+                parts.append((qi, pi, d))
+                start = stop
+            if not parts:
+                continue
+            qi, pi, d = (np.concatenate(v) for v in zip(*parts))
+            order = np.lexsort((keys[pi], d, qi))
+            qi, pi, d = qi[order], pi[order], d[order]
+            begin = np.searchsorted(qi, np.arange(len(q)))
+            place = np.arange(len(qi)) - begin[qi]
+            if distances_only:
+                last = place == k - 1
+                bound[q[qi[last]]] = np.minimum(bound[q[qi[last]]], d[last])
+            else:
+                ok = (place < k) & np.isfinite(d) & (d <= radius[q[qi]])
+                found.append((q[qi[ok]], pi[ok], d[ok]))
+    if distances_only:
+        return bound
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    qi, pi, d = (np.concatenate(v) for v in zip(*found))
+    order = np.argsort(qi, kind="stable")
+    return qi[order], pi[order], d[order]
+
+
+def _matrix(table: pa.Table | pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
+    return np.column_stack([table.column(n).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table.column(n).to_numpy() for n in names])
+
+
+def _split(table: pa.Table, names: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table, np.ndarray]:
+    """The points, keys and weights of a cell; its queries and their coordinates."""
+    asks = table.column("_loc").is_valid().to_numpy()
+    points, queries = table.filter(pa.array(~asks)), table.filter(pa.array(asks))
+    keys = points.column("_key").fill_null(int(_LAST)).to_numpy()
+    return _matrix(points, names), keys, points.column("_w").to_numpy(), queries, _matrix(queries, names)
+
+
+def _same_cell(names: Sequence[str], k: int):
+    def radius(table: pa.Table) -> pa.Table:
+        points, keys, _, queries, x = _split(table, names)
+        r = _nearest_in(points, keys, x, np.full(len(x), np.inf), k, distances_only=True)
+        return pa.table({"_loc": queries.column("_loc"), **{n: queries.column(n) for n in names}, "_r": pa.array(r, pa.float64())})
+
+    return radius
+
+
+def _send(names: Sequence[str], boxes):
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, low, high = boxes.value
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
+                r = batch.column("_r").to_numpy(zero_copy_only=False)
+                row, cell = np.nonzero(_box_distance(_matrix(batch, names), low, high) <= (r**2 * (1 + 1e-12))[:, None])
+                sent = batch.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(cells[cell], pa.int64()), *sent.columns], ["_cell", *sent.schema.names])
+
+    return send
+
+
+def _found(names: Sequence[str], k: int):
+    def search(table: pa.Table) -> pa.Table:
+        points, keys, weights, queries, x = _split(table, names)
+        q, p, d = _nearest_in(points, keys, x, queries.column("_r").to_numpy(), k)
+        edges = np.searchsorted(q, np.arange(len(x) + 1))
+        o = pa.array(keys[p], pa.int64(), mask=keys[p] == _LAST)
+        near = pa.StructArray.from_arrays([pa.array(d, pa.float64()), o, pa.array(weights[p], pa.int64())], ["d", "o", "w"])
+        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), near)
+        return pa.table({"_loc": queries.column("_loc").combine_chunks(), "_near": lists}).filter(pa.array(np.diff(edges) > 0))
+
+    return search
 
 
 def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int, cell_rows: int = CELL_ROWS, donors: DataFrame | None = None) -> DataFrame:
     """(q, o, d, rank): the k nearest rows o of every row q (Euclidean over ``columns``, nulls as 0), exact.
 
     o ranges over ``donors`` when given (same key and columns), else over ``df``; a row is never its own
-    neighbour (same key). Keys must be unique and not null (bigint). Fewer than k candidates: all of them.
+    neighbour (same key). Keys are bigint; a key that m rows share counts m times on either side, and a
+    null key asks for nothing. Rows with a coordinate that is not finite have no neighbours and are
+    nobody's. Fewer than k candidates: all of them.
     """
-    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns])
-    asked = materialize(df.select(F.col(key).cast("long").alias("key"), x.alias("x")))
-    points = asked if donors is None else materialize(donors.select(F.col(key).cast("long").alias("key"), x.alias("x")))
+    names = [f"_x{i}" for i in range(len(columns))]
+    x = [(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) + F.lit(0.0)).alias(n) for c, n in zip(columns, names)]
+    usable = [~F.isnan(n) & (F.abs(n) < F.lit(float("inf"))) for n in names]
+
+    def read(frame: DataFrame) -> DataFrame:
+        rows = frame.select(F.col(key).cast("long").alias("_key"), *x)
+        for test in usable:
+            rows = rows.where(test)
+        return rows
+
+    asked = materialize(read(df))
+    given = asked if donors is None else materialize(read(donors))
+    spark = asked.sparkSession
+    # of equal rows only the k + 1 smallest keys can be neighbours
+    small = F.row_number().over(Window.partitionBy(*names).orderBy(F.col("_key").asc_nulls_last()))
+    points = materialize(given.groupBy("_key", *names).agg(F.count(F.lit(1)).alias("_w")).withColumn("_place", small).where(F.col("_place") <= k + 1).drop("_place"))
+    asked = asked.where(F.col("_key").isNotNull())
+    locations = asked.select(*names).distinct().withColumn("_loc", F.monotonically_increasing_id())
+
     n = points.count()
-    empty = asked.sparkSession.createDataFrame([], "q long, o long, d double, rank int")
-    if n == 0 or asked.isEmpty():
+    empty = spark.createDataFrame([], "q long, o long, d double, rank int")
+    if n == 0:
         return empty
-    bins = max(1, math.ceil(math.sqrt(n / cell_rows)))
-    first, second = F.col("x")[0], (F.col("x")[1] if len(columns) > 1 else F.lit(0.0))
-    cuts0, cuts1 = _cuts(points, first, bins), (_cuts(points, second, bins) if len(columns) > 1 else [])
-
-    def celled(frame: DataFrame, is_query: bool) -> DataFrame:
-        return frame.withColumn("b0", _bin(first, cuts0)).withColumn("b1", _bin(second, cuts1)).withColumn("is_query", F.lit(is_query))
-
-    def search(key_, frame: pd.DataFrame) -> pd.DataFrame:
-        return _nearest_in(frame[~frame["is_query"]], k, frame[frame["is_query"]])
-
-    def own(key_, frame: pd.DataFrame) -> pd.DataFrame:
-        queries = frame[frame["is_query"]]
-        found = _nearest_in(frame[~frame["is_query"]], k, queries)
-        counted = found.groupby("q")["d"].agg(["max", "size"])
-        radius = counted["max"].where(counted["size"] >= k)
-        return pd.DataFrame({"key": queries["key"].to_numpy(), "r": queries["key"].map(radius).astype("float64").fillna(np.inf).to_numpy()})
-
-    base = celled(points, False)
-    queries = materialize(celled(asked, True))
-    radii = base.unionByName(queries).groupBy("b0", "b1").applyInPandas(own, "key long, r double")
-    reach = queries.join(radii, "key")
-    # the bin range a radius reaches; an unbounded radius reaches every bin
-    finite = ~F.isnan(F.col("r")) & (F.col("r") < F.lit(float("inf")))
-    lo0, hi0 = F.when(finite, _bin(first - F.col("r"), cuts0)).otherwise(0), F.when(finite, _bin(first + F.col("r"), cuts0)).otherwise(len(cuts0))
-    lo1, hi1 = F.when(finite, _bin(second - F.col("r"), cuts1)).otherwise(0), F.when(finite, _bin(second + F.col("r"), cuts1)).otherwise(len(cuts1))
-    sent = reach.select("key", "x", F.explode(F.sequence(lo0, hi0)).alias("b0"), lo1.alias("_lo1"), hi1.alias("_hi1"))
-    sent = sent.select("key", "x", "b0", F.explode(F.sequence("_lo1", "_hi1")).alias("b1"), F.lit(True).alias("is_query"))
-    found = base.unionByName(sent).groupBy("b0", "b1").applyInPandas(search, "q long, o long, d double")
-    from pyspark.sql import Window
-
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d", "o")))
-    return ranked.where(F.col("rank") <= k)
+    cells = min(MAX_CELLS, math.ceil(n / cell_rows))
+    points = points.withColumn("_loc", F.lit(None).cast("long")).withColumn("_r", F.lit(None).cast("double"))
+    locations = locations.withColumn("_key", F.lit(None).cast("long")).withColumn("_w", F.lit(None).cast("long")).withColumn("_r", F.lit(float("inf")))
+    coordinates = ", ".join(f"{n} double" for n in names)
+    if cells == 1:
+        locations = materialize(locations.withColumn("_cell", F.lit(0)))
+        found = points.withColumn("_cell", F.lit(0)).unionByName(locations).groupBy("_cell").applyInArrow(_found(names, k + 1), FOUND)
+    else:
+        unit = F.pmod(F.xxhash64(*names), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        sample = points.where(unit <= min(1.0, SAMPLE_PER_CELL * cells / n)).select(*names).distinct().sort(*names)
+        tree = spark.sparkContext.broadcast(_cuts(sample.toPandas().to_numpy("float64"), cells))
+
+        @F.pandas_udf("long")
+        def cell_of(*values: pd.Series) -> pd.Series:
+            return pd.Series(_cell_of(np.column_stack([v.to_numpy("float64") for v in values]), tree.value))
+
+        points, locations = (materialize(t.withColumn("_cell", cell_of(*names))) for t in (points, locations))
+        box = points.groupBy("_cell").agg(*[f(n).alias(f"{s}{n}") for s, f in (("l", F.min), ("h", F.max)) for n in names]).collect()  # at most MAX_CELLS rows
+        low, high = (np.array([[r[f"{s}{n}"] for n in names] for r in box]) for s in "lh")
+        boxes = spark.sparkContext.broadcast((np.array([r["_cell"] for r in box]), low, high))
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(cells, 2_000))
+
+        def dealt(queries: DataFrame):
+            """Points and queries of a cell together; a fixed number of partitions, since the work does not lie in their bytes."""
+            return points.unionByName(queries).repartition(parts, "_cell").groupBy("_cell")
+
+        radii = dealt(locations).applyInArrow(_same_cell(names, k + 1), f"_loc long, {coordinates}, _r double")
+        sent = radii.mapInArrow(_send(names, boxes), f"_cell long, _loc long, {coordinates}, _r double")
+        found = dealt(sent.withColumn("_key", F.lit(None).cast("long")).withColumn("_w", F.lit(None).cast("long"))).applyInArrow(_found(names, k + 1), FOUND)
+    merged = found.groupBy("_loc").agg(F.slice(F.array_sort(F.flatten(F.collect_list("_near"))), 1, k + 1).alias("_near"))
+    near = merged.join(locations.select("_loc", *names), "_loc").drop("_loc")
+    lists = asked.join(near, names).select(F.col("_key").alias("q"), F.filter("_near", lambda a: ~F.col("_key").eqNullSafe(a["o"])).alias("_near"))
+
+    shared = asked.groupBy("_key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
+    if shared.isEmpty() and points.where("_w > 1").isEmpty():
+        ranked = lists.select("q", F.posexplode(F.slice("_near", 1, k)).alias("_at", "_n"))
+        return ranked.select("q", "_n.o", "_n.d", (F.col("_at") + 1).alias("rank"))
+    # a key on several rows: each counts once for every one of them, as a neighbour and as a query
+    counted = lists.join(shared.withColumnRenamed("_key", "q"), "q", "left").withColumn("_m", F.coalesce("_m", F.lit(1)))
+    times = F.least(F.col("_n.w") * F.col("_m"), F.lit(k)).cast("int")
+    rows = counted.select("q", "_m", F.explode("_near").alias("_n")).select("q", "_n.o", "_n.d", F.explode(F.sequence(F.lit(1), times)).alias("_t"))
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d", "o")))
+    return ranked.where(F.col("rank") <= k).select("q", "o", "d", "rank")
 
 
 def fill_nearest(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -157,8 +339,6 @@ def fill_nearest(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, ce
         cands = cands.unionByName(p)
     donors = rows.select(F.col(key).alias("o"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(columns)])
     cands = materialize(cands.join(donors, "o"))
-    from pyspark.sql import Window
-
     filled = {}
     for i, c in enumerate(columns):
         usable = cands.where(F.col("_dp").bitwiseAND(1 << i) != 0)
