@@ -82,6 +82,19 @@ def test_ensemble(spark, planted, voting):
         assert got[got.prediction == -1].y.mean() > 0.6
 
 
+def test_ensemble_scores_its_training_rows_once(spark, planted, monkeypatch):
+    df = spark.createDataFrame(planted)
+    calls = []
+    plain = detectors.ExactLocalFactor.score
+    monkeypatch.setattr(detectors.ExactLocalFactor, "score", lambda self, *a: calls.append(1) or plain(self, *a))
+    e = detectors.fit_ensemble(df, ["a", "b", "c"], "id", ("lof", "ocsvm"))
+    own = {r.id: (r._d_lof, r._d_ocsvm) for r in e.decisions(df).collect()}
+    assert calls == [1]
+    again = {r.id: (r._d_lof, r._d_ocsvm) for r in e.decisions(df.select("*")).collect()}
+    assert calls == [1, 1] and own.keys() == again.keys()
+    assert all(own[i] == pytest.approx(again[i]) for i in own)
+
+
 def test_vote_rules(spark):
     df = spark.createDataFrame([(1, -1.0, 1.0), (2, 1.0, 1.0), (3, -1.0, -1.0)], "id long, _d_a double, _d_b double")
     hard = {r.id: (r.prediction, r.confidence) for r in detectors.vote(df, ["a", "b"], voting="hard").collect()}

@@ -159,14 +159,21 @@ def fit_one_class(df: DataFrame, columns: Sequence[str], scaler: cleaning.Scaler
 
 @dataclass(frozen=True)
 class Ensemble:
-    """Fitted detectors and, per score column, the offset and range on the training rows."""
+    """Fitted detectors and, per score column, the offset and range on the training rows.
+
+    The training frame keeps its scores: they are not computed again when it is judged itself.
+    """
 
     models: dict[str, object]
     offsets: dict[str, float]
     ranges: dict[str, tuple[float, float]]
+    trained: DataFrame | None = None
+    scored: DataFrame | None = None
 
     def decisions(self, df: DataFrame) -> DataFrame:
         """Add one decision column per detector; below 0 is an outlier."""
+        if df is self.trained:
+            return self.scored.withColumns({f"_d_{n}": F.col(f"_d_{n}") - F.lit(self.offsets[n]) for n in self.models})
         for name, model in self.models.items():
             df = model.score(df, f"_d_{name}").withColumn(f"_d_{name}", F.col(f"_d_{name}") - F.lit(self.offsets[name]))
         return df
@@ -187,10 +194,10 @@ def fit_ensemble(df: DataFrame, columns: Sequence[str], key: str, methods: Seque
     scored = df
     for name, model in models.items():
         scored = model.score(scored, f"_d_{name}")
-    scored = materialize(scored.select(*[f"_d_{n}" for n in models]))
-    q = ranking.column_quantiles(scored, scored.columns, [0.0, contamination, 1.0])
+    scored = materialize(scored)
+    q = ranking.column_quantiles(scored, [f"_d_{n}" for n in models], [0.0, contamination, 1.0])
     offsets = {n: q[f"_d_{n}"][1] for n in models}
-    return Ensemble(models, offsets, {n: (q[f"_d_{n}"][0] - offsets[n], q[f"_d_{n}"][2] - offsets[n]) for n in models})
+    return Ensemble(models, offsets, {n: (q[f"_d_{n}"][0] - offsets[n], q[f"_d_{n}"][2] - offsets[n]) for n in models}, df, scored)
 
 
 def vote(df: DataFrame, names: Sequence[str], ranges: dict[str, tuple[float, float]] | None = None, voting: str = "soft") -> DataFrame:
