@@ -156,3 +156,23 @@ def test_host_repeats_go_where_structure_is_silent(shared):
     frame = shared.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").withColumn("_doc", F.lit(1)).withColumn("text", F.lit("t"))
     assert {(r.page_id, r.text) for r in H.main_text(frame).collect()} == {(r[0], r[3]) for r in rows}
     assert H.main_text(frame.limit(0)).count() == 0
+
+
+def test_every_page_goes_through_the_host_search(shared, monkeypatch):
+    """Teasers in <article> do not hide a body outside; repeated lines of a main element that holds the body stay."""
+    random.seed(9)
+    words = ["".join(random.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    text = lambda n: " ".join(random.choice(words) for _ in range(n))
+    chrome, teaser, line = text(12), text(12), text(12)
+    rows = []
+    for i in range(6):
+        own = text(60)
+        rows.append((i, "http://h.example/a", f"<div>{chrome}</div><div>{own}</div><article>{teaser}</article>", own))
+    for i in range(6, 12):
+        own = text(60)
+        rows.append((i, "http://h.example/b", f"<div>{chrome}</div><article><p>{own}</p><p>{line}</p></article>", f"{own}\n{line}"))
+    seen, plain = [], H.repeated
+    monkeypatch.setattr(H, "repeated", lambda streams, **kw: seen.append(streams.where("length(_text) > 0").count()) or plain(streams, **kw))
+    frame = shared.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.main_text(frame).collect()} == {r[0]: r[3] for r in rows}
+    assert seen == [12]

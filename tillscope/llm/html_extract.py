@@ -1,10 +1,10 @@
 """Main text of web pages by structure and by a suffix array over each host's pages.
 
-A page is cut in blocks. Where it names its main element, that element is the article, without the
-menus, forms, adverts and comments inside it. Where it does not, evidence comes from the other pages
-of the host: the undecided blocks of its pages are one stream per page, and strings repeated across
-distinct pages of a host are found by the suffix sort of ``suffix_dedup``; blocks that such strings
-cover are boilerplate, the unique runs between them are the text.
+A page is cut in blocks. The blocks that are not menus, forms, adverts, comments and the like are one
+stream per page, and strings repeated across distinct pages of a host are found by the suffix sort of
+``suffix_dedup``. Blocks that such strings cover are boilerplate, the unique runs between them are the
+text. A main element that the page names is the article as it stands (its repeated lines are still the
+article), unless the unique blocks outside it hold more text: then it only names teasers.
 """
 
 from __future__ import annotations
@@ -31,29 +31,41 @@ def page_blocks(data: bytes) -> tuple[list[str], bool]:
     return (main, True) if main else ([t for zone, t in found if zone == OPEN], False)
 
 
+def candidates(data: bytes) -> tuple[list[str], list[bool]]:
+    """The blocks of a page that may be its text, and which of them stand in its main element."""
+    found = [(t, zone == MAIN) for zone, t in blocks(data.decode("utf-8", "replace")) if zone in (MAIN, OPEN)]
+    return [t for t, _ in found], [inside for _, inside in found]
+
+
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches (_doc, _tag, _space, _html) to the streams of the pages whose structure does not decide."""
+    """Batches (_doc, _tag, _space, _html) to the streams of the pages' candidate blocks."""
     for whole in batches:
         for batch in slices(whole, "_html", 4 << 20):
-            read = [page_blocks(d) for d in batch.column(3).to_pylist()]
-            rows = [i for i, (_, decided) in enumerate(read) if not decided]
-            kept = [batch.column(c).take(pa.array(rows, pa.int64())) for c in range(3)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(["\n".join(read[i][0]).encode() for i in rows], pa.binary())], ["_doc", "_tag", "_space", "_text"])
+            texts = ["\n".join(candidates(d)[0]).encode() for d in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.binary())], ["_doc", "_tag", "_space", "_text"])
 
 
-def unique_blocks(texts: list[str], first: list[int], number: list[int]) -> list[str]:
-    """Blocks that repeated windows do not cover; all of them if nothing would be left."""
+def uncovered(texts: list[str], first: list[int], number: list[int]) -> list[bool]:
+    """Which blocks repeated windows do not cover."""
     sizes = [len(t.encode()) for t in texts]
     edge = np.zeros(sum(sizes) + len(sizes) + 1, np.int64)
     np.add.at(edge, np.array(first, np.int64), 1)
     np.add.at(edge, np.array(first, np.int64) + np.array(number, np.int64) + ss.LENGTH - 1, -1)
     gone = np.concatenate(([0], np.cumsum(np.cumsum(edge) > 0)))
     left, at = [], 0
-    for text, size in zip(texts, sizes):
-        if gone[at + size] - gone[at] < COVERED * size:
-            left.append(text)
+    for size in sizes:
+        left.append(bool(gone[at + size] - gone[at] < COVERED * size))
         at += size + 1
-    return left or texts
+    return left
+
+
+def chosen_blocks(texts: list[str], inside: list[bool], first: list[int], number: list[int]) -> list[str]:
+    """The blocks of the article, by the main element and the repeated windows of the stream."""
+    unique = uncovered(texts, first, number)
+    outside = sum(len(t) for t, u, m in zip(texts, unique, inside) if u and not m)
+    if any(inside) and outside <= sum(len(t) for t, m in zip(texts, inside) if m):
+        return [t for t, m in zip(texts, inside) if m]
+    return [t for t, u in zip(texts, unique) if u] or texts
 
 
 def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,8 +74,7 @@ def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for batch in slices(whole, "_html", 4 << 20):
             texts = []
             for data, first, number in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                found, decided = page_blocks(data)
-                texts.append("\n".join(found if decided or not first else unique_blocks(found, first, number)))
+                texts.append("\n".join(chosen_blocks(*candidates(data), first or [], number or [])))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_box", "text"])
 
 
