@@ -95,3 +95,24 @@ def test_equal_rows_are_searched_once_and_cells_cut_every_column(spark, monkeypa
         d = np.sqrt(((x - x[i]) ** 2).sum(1))
         want = sorted((d[j], j) for j in range(len(x)) if j != i)[:4]
         assert [o for _, o in sorted(got[i])] == [j for _, j in want]
+
+
+def test_filling_meets_few_of_many_equal_donors(spark, monkeypatch):
+    """Of rows equal in the shared columns only k + 1 are searched, whatever their number."""
+    rows = [(i, float(i % 10), None if i % 2 else float(i % 10) + 0.5) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "id long, a double, b double")
+    met = spark.sparkContext.accumulator(0)
+    plain = N._found
+
+    def counted(names, k):
+        search = plain(names, k)
+        return lambda table: met.add(table.num_rows) or search(table)
+
+    monkeypatch.setattr(N, "_found", counted)
+    got = {r.id: (r.a, r.b) for r in N.fill_nearest(frame, "id", ["a", "b"], 3).collect()}
+    assert met.value <= 2 * (5 * (3 + 1) + 5)  # five donor values, five query values; a task may run again for the result
+    for i, a, b in rows:
+        if b is None:  # the nearest even values are one below and one above; ties go to the smallest ids
+            near = sorted((abs(a - r[1]), r[0], r[2]) for r in rows[:60] if r[2] is not None)[:3]
+            b = sum(v for _, _, v in near) / 3
+        assert got[i] == pytest.approx((a, b))
