@@ -91,3 +91,32 @@ def test_baselines(spark, txns):
     m = txns.customer_id.map(txns.groupby("customer_id").amount.mean())
     s = txns.customer_id.map(txns.groupby("customer_id").amount.std())
     assert out.exceeds_baseline.sum() == (((txns.amount - m) / (s + 1)).abs() > 3).sum()
+
+
+@pytest.mark.parametrize("key_rows", [40, 500])
+def test_small_customers_need_no_copies_of_rows(spark, txns, key_rows):
+    rows = txns.assign(customer_id=txns.customer_id.astype("Int64").where(txns.transaction_id != 9), timestamp=txns.timestamp.where(txns.transaction_id != 11))
+    rows = pd.concat([rows, rows[rows.transaction_id % 50 == 3]])  # repeated rows
+    plain = [tuple(None if pd.isna(v) else v.to_pydatetime() if isinstance(v, pd.Timestamp) else v for v in r) for r in rows.astype(object).itertuples(index=False)]
+    df = spark.createDataFrame(plain, "transaction_id long, customer_id long, timestamp timestamp, amount double")
+    busy = trailing.busy_keys(df, "customer_id", "timestamp", len(rows), key_rows)
+    sizes, untimed = rows.customer_id.value_counts(), rows.customer_id[rows.transaction_id == 11].iloc[0]
+    assert {r[0] for r in busy.collect()} == {None, untimed, *sizes[sizes > key_rows].index}
+    args = ("customer_id", "timestamp", "amount", "transaction_id", [1, 6, 24, 168], 60.0, 3_600_000_000)
+    got, want = (trailing.trailing_profile(df, *args, b).toPandas() for b in (busy, None))
+    # of repeated rows the first has another row before it than the second
+    order = ["transaction_id", "_prev_t", "_prev_x"]
+    got, want = (f.sort_values(order).reset_index(drop=True)[sorted(f.columns)] for f in (got, want))
+    pd.testing.assert_frame_equal(got, want, check_dtype=False)
+    plan = trailing.trailing_profile(df, *args, busy.limit(0))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+
+
+def test_levels_and_sizes_are_counted_in_the_input(spark, txns, monkeypatch):
+    df = spark.createDataFrame(txns.assign(category="usual"))
+    seen = []
+    for module, name in ((tf, "level_frequencies"), (trailing, "busy_keys"), (trailing, "choose_cell")):
+        plain = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda frame, *a, _f=plain, **k: seen.append(frame.columns) or _f(frame, *a, **k))
+    tf.transaction_features(df, categorical=["category"])
+    assert seen and all(c == df.columns for c in seen)  # not the frame with the ranks joined to it

@@ -6,6 +6,9 @@ The time line is cut in cells whose width divides every window. A window (t - w,
   + the rows of the cell w earlier that lie after t - w.
 Rows are shuffled by (key, cell), so the largest group is one key's rows of one cell. All frames
 over rows only grow, which Spark evaluates in linear time; the sliding frame runs over cells.
+
+A key of few rows needs none of that: its rows meet in one partition and the windows are sliding
+frames over them, so the rows are neither copied nor joined. ``busy_keys`` tells the two kinds apart.
 """
 
 from __future__ import annotations
@@ -17,8 +20,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillscope.functions.columns import HOUR_MICROS, clean_double, micros
+from tillscope.session import materialize
 
 CELL_ROWS = 5_000_000
+KEY_ROWS = 500  # a sliding frame reads at most this many rows for each row
+BUSY_KEYS = 200_000
 SECOND = 1_000_000
 
 
@@ -37,6 +43,13 @@ def choose_cell(df: DataFrame, key: str, ts: str, windows: Sequence[int], total:
     return width
 
 
+def busy_keys(df: DataFrame, key: str, ts: str, total: int, key_rows: int = KEY_ROWS) -> DataFrame:
+    """Keys with more than ``max(key_rows, total / BUSY_KEYS)`` rows, the null key and keys with a null time, as ``_busy``."""
+    limit = max(key_rows, math.ceil(total / BUSY_KEYS))
+    sizes = df.groupBy(F.col(key).alias("_busy")).agg(F.count(F.lit(1)).alias("_n"), F.count_if(micros(ts).isNull()).alias("_untimed"))
+    return materialize(sizes.where(F.col("_busy").isNull() | (F.col("_n") > limit) | (F.col("_untimed") > 0)).select("_busy"))
+
+
 def _stats(x: Column, shifted: Column) -> dict[str, Column]:
     return {"n": F.count(x), "s": F.sum(shifted), "q": F.sum(shifted * shifted), "lo": F.min(x), "hi": F.max(x)}
 
@@ -50,13 +63,15 @@ def trailing_profile(
     windows: Sequence[int],
     center: float,
     cell: int,
+    busy: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per row, trailing window statistics, the previous row and whole-key totals.
 
     Per window ``w`` (hours): ``_w{w}_n/_s/_q/_lo/_hi`` = count, sum and sum of squares of
     ``amount - center``, min, max. From the row before by (time, tie): ``_prev_t``, ``_prev_x``.
     Per key: ``_k_n/_s/_q/_lo/_hi`` and ``_k_first``, ``_k_last`` (microseconds).
-    Rows with the same key and time count for each other.
+    Rows with the same key and time count for each other. ``busy`` (from ``busy_keys``) names the keys
+    to cut in cells; without it all keys are.
     """
     payload = df.columns
     base = df.select(
@@ -66,6 +81,47 @@ def trailing_profile(
         clean_double(amount).alias("_x"),
         F.col(tie).alias("_id"),
     ).withColumn("_d", F.col("_x") - F.lit(center))
+    if busy is None:
+        return _by_cells(base, payload, windows, cell)
+    count = busy.count()
+    if not count:
+        return _by_keys(base, payload, windows)
+    listed = F.broadcast(busy) if count <= BUSY_KEYS else busy
+    met = base["_key"].eqNullSafe(busy["_busy"])
+    return _by_keys(base.join(listed, met, "left_anti"), payload, windows).unionByName(_by_cells(base.join(listed, met, "left_semi"), payload, windows, cell))
+
+
+def _by_keys(base: DataFrame, payload: Sequence[str], windows: Sequence[int]) -> DataFrame:
+    """The profile of keys with few rows, none of them without a time: one shuffle, one sort, sliding frames."""
+    by_key = Window.partitionBy("_key")
+    in_time = by_key.orderBy("_t")
+    stats = _stats(F.col("_x"), F.col("_d"))
+    previous = F.lag(F.struct("_t", "_x")).over(by_key.orderBy("_t", "_id", "_x"))
+
+    def whole(name: str, value: Column) -> Column:
+        return value if name in ("lo", "hi") else F.coalesce(value, F.lit(0))
+
+    found = base.select(
+        "_row",
+        *[whole(m, f.over(in_time.rangeBetween(1 - w * HOUR_MICROS, 0))).alias(f"_w{w}_{m}") for w in windows for m, f in stats.items()],
+        previous.alias("_prev"),
+        *[f.over(by_key).alias(f"_k_{m}") for m, f in stats.items()],
+        F.min("_t").over(by_key).alias("_k_first"),
+        F.max("_t").over(by_key).alias("_k_last"),
+    )
+    rest = [c for c in found.columns if c not in ("_row", "_prev") and not c.startswith("_k_")]
+    return found.select(
+        *[F.col(f"_row.{c}").alias(c) for c in payload],
+        *rest,
+        F.col("_prev._t").alias("_prev_t"),
+        F.col("_prev._x").alias("_prev_x"),
+        *[f"_k_{m}" for m in stats],
+        "_k_first",
+        "_k_last",
+    )
+
+
+def _by_cells(base: DataFrame, payload: Sequence[str], windows: Sequence[int], cell: int) -> DataFrame:
     base = base.withColumn("_o", F.pmod("_t", F.lit(cell))).withColumn("_cell", F.expr(f"(_t - _o) div {cell}L"))
     steps = {w: w * HOUR_MICROS // cell for w in windows}
 

@@ -96,11 +96,16 @@ def time_features(df: DataFrame, c: Columns = Columns()) -> DataFrame:
     )
 
 
-def with_history(df: DataFrame, model: AmountModel, c: Columns = Columns(), velocity: Sequence[int] = VELOCITY_HOURS, statistic: Sequence[int] = STATISTIC_HOURS) -> DataFrame:
-    """Customer profile, previous transaction and trailing windows from one shuffle of the rows."""
+def with_history(df: DataFrame, model: AmountModel, c: Columns = Columns(), velocity: Sequence[int] = VELOCITY_HOURS, statistic: Sequence[int] = STATISTIC_HOURS, rows: DataFrame | None = None) -> DataFrame:
+    """Customer profile, previous transaction and trailing windows from one shuffle of the rows.
+
+    ``rows`` is a frame of the same rows that is cheaper to read; the customers' sizes are counted there.
+    """
     hours = sorted({*velocity, *statistic})
-    cell = trailing.choose_cell(df, c.customer, c.timestamp, hours, model.rows)
-    p = trailing.trailing_profile(df, c.customer, c.timestamp, c.amount, c.transaction, hours, model.mean, cell)
+    rows = df if rows is None else rows
+    busy = trailing.busy_keys(rows, c.customer, c.timestamp, model.rows)
+    cell = trailing.choose_cell(rows, c.customer, c.timestamp, hours, model.rows)
+    p = trailing.trailing_profile(df, c.customer, c.timestamp, c.amount, c.transaction, hours, model.mean, cell, busy)
     x = F.col(c.amount).cast("double")
     age = elapsed_days(F.col("_k_last"), F.col("_k_first"))
     mean, std = trailing.mean_of("_k_", model.mean), trailing.std_of("_k_")
@@ -174,13 +179,14 @@ def level_frequencies(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("share", safe_div(F.col("n"), F.lit(total)))
 
 
-def encode_levels(df: DataFrame, columns: Sequence[str], tie: str, hot_rows: int = ranking.HOT_KEY_ROWS) -> DataFrame:
-    """Frequency code and rare-level flag per text column."""
+def encode_levels(df: DataFrame, columns: Sequence[str], tie: str, hot_rows: int = ranking.HOT_KEY_ROWS, rows: DataFrame | None = None) -> DataFrame:
+    """Frequency code and rare-level flag per text column; ``rows`` is a frame of the same rows to count levels in."""
+    rows = df if rows is None else rows
     for name in columns:
         if name not in df.columns:
             continue
-        total = df.agg(F.count(name)).first()[0]
-        table = level_frequencies(df, name).select(name, F.col("n").alias("_n"), F.col("share").alias(f"{name}_freq"))
+        total = rows.agg(F.count(name)).first()[0]
+        table = level_frequencies(rows, name).select(name, F.col("n").alias("_n"), F.col("share").alias(f"{name}_freq"))
         df = ranking.lookup(df, table, [name], "_n", total, tie, hot_rows)
         df = df.withColumn(f"{name}_is_rare", flag(F.col(f"{name}_freq") < RARE_SHARE))
     return df
@@ -191,9 +197,10 @@ def transaction_features(df: DataFrame, c: Columns = Columns(), categorical: Seq
     require_columns(df, [c.transaction, c.customer, c.amount, c.timestamp])
     model = model or fit_amounts(df, c)
     out = rank_shares(df, model, c)
-    out = with_history(out, model, c)
+    # sizes and levels are counted in the input: the joined frame would be computed once more for each count
+    out = with_history(out, model, c, rows=df)
     out = zscores(time_features(amount_features(out, model, c), c), model, c)
-    return encode_levels(out, categorical, c.transaction)
+    return encode_levels(out, categorical, c.transaction, rows=df)
 
 
 def customer_baselines(df: DataFrame, c: Columns = Columns()) -> DataFrame:
