@@ -152,3 +152,28 @@ def test_every_series_has_a_model_and_a_forecast(spark):
     folds = arima.backtest(df, model, folds=2, rows_per_fold=20).toPandas()
     assert set(folds.series_id) == {"long", "gaps", "short", "none"} and folds.predicted.notna().all()
     assert set(arima.fit(df, period=7).toPandas().series_id) == set(status)
+
+
+def test_series_are_fitted_and_forecast_in_batches(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, datetime.datetime(2024, 1, 1) + datetime.timedelta(days=i), float(v)) for k in range(6) for i, v in enumerate(rng.normal(size=20 + 9 * k).cumsum())]
+    rows = [(k, t, None if i % 17 == 4 else v) for i, (k, t, v) in enumerate(rows)] + [(None, rows[0][1], 1.0), (2, None, 5.0)]
+    df = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "series_id long, ds timestamp, y double")
+    model = arima.fit(df, order=(1, 0, 1))
+    ahead = arima.forecast(df, model, 3)
+    for frame in (model, ahead):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "MapInPandas" in plan and "FlatMapGroups" not in plan
+    fits = model.where("series_id is not null").toPandas().set_index("series_id")
+    got = ahead.toPandas().sort_values(["series_id", "ds"])
+    assert len(got) == 18 and set(fits.status) == {"fitted"}
+    for k in range(6):
+        mine = sorted([r for r in rows if r[0] == k], key=lambda r: (r[1] is None, r[1] or datetime.datetime.min))
+        y = arima._filled(np.array([r[2] for r in mine], dtype="float64"))
+        want = arima._fit(y, (1, 0, 1, 0, 0, 0, 1))
+        assert np.allclose([fits.const[k], *fits.ar[k], *fits.ma[k]], [want["const"], *want["ar"], *want["ma"]])
+        mean, half = arima._ahead(y, want["const"], np.array(want["ar"]), np.array(want["ma"]), want["sigma2"], 3, 0.95)
+        mine_ahead = got[got.series_id == k]
+        assert np.allclose(mine_ahead.yhat, mean) and np.allclose(mine_ahead.yhat_upper, mean + half)
+        last = max(r[1] for r in mine if r[1] is not None)
+        assert list(mine_ahead.ds) == [last + datetime.timedelta(days=h) for h in (1, 2, 3)]

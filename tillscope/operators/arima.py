@@ -1,14 +1,14 @@
-"""ARIMA with optional seasonal lags for many series: one Spark group per (series, candidate).
+"""ARIMA with optional seasonal lags for many series: one row of values per (series, candidate).
 
-A series is a table of at most one row per period (see ``series.densify``), so a group is bounded
-by the calendar. Coefficients come from repeated least squares on lagged values and residuals
+A series is a table of at most one row per period (see ``series.densify``), so its row is bounded
+by the calendar. Many short series share a task and an Arrow batch. Coefficients come from repeated least squares on lagged values and residuals
 (Hannan, Rissanen 1982). Seasonal terms enter as extra lags.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from statistics import NormalDist
 
 import numpy as np
@@ -23,6 +23,7 @@ MAX_P, MAX_D, MAX_Q = 3, 2, 3
 SEASONAL = ((1, 1, 1), (1, 0, 1), (0, 1, 1), (1, 1, 0))
 FOLDS, FOLD_ROWS = 5, 30
 MIN_ROWS = 12
+FORECAST_SERIES = 1000  # series whose forecasts leave a task together
 ORDER = "p int, d int, q int, sp int, sd int, sq int, period int"
 FITTED = f"{ORDER}, const double, ar array<double>, ma array<double>, sigma2 double, aic double, bic double, n long"
 _ORDER_NAMES = [c.split()[0] for c in ORDER.split(", ")]
@@ -148,37 +149,57 @@ def _adf(y: np.ndarray) -> float:
 def differencing_order(df: DataFrame, key: str, date: str = "ds", value: str = "y", most: int = MAX_D) -> DataFrame:
     """(key, d): the first d in 0..most whose d-th difference looks stationary at 5 %, else 1."""
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = _filled(pdf.sort_values(date)[value].to_numpy("float64"))
-        found = 1
+    def choose(y: np.ndarray) -> int:
         for d in range(most + 1):
             z = np.diff(y, d)
             if len(z) < MIN_ROWS or np.ptp(z) == 0:
                 continue
             if _adf(z) < -2.8621 - 2.738 / len(z) - 8.36 / len(z) ** 2:  # 5 % critical value (MacKinnon 2010)
-                found = d
-                break
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "d": [found]})
+                return d
+        return 1
 
-    rows = df.select(key, date, clean_double(value).alias(value))
-    return rows.groupBy(key).applyInPandas(choose, f"{key} {df.schema[key].dataType.simpleString()}, d int")
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield pd.DataFrame({key: pdf[key], "d": [choose(y) for y in map(_values, pdf["_y"])]})
+
+    return _spread(_packed(df, key, date, value).select(key, "_y"), key).mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, d int")
+
+
+def _packed(df: DataFrame, key: str, date: str, value: str) -> DataFrame:
+    """(key, _y, _last): the values of a series in order of their dates, rows without one at the end, and the last date."""
+    when = F.col(date)
+    item = F.struct(when.isNull().alias("u"), when.alias("d"), clean_double(value).alias("v"))
+    rows = df.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_s"), F.max(when.cast("timestamp")).alias("_last"))
+    return rows.select(key, F.col("_s.v").alias("_y"), "_last")
+
+
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all tasks: they are few and small, but each is a fit, so their bytes must not decide the number of tasks."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _values(y: Sequence[float | None]) -> np.ndarray:
+    return _filled(np.asarray(y, dtype="float64"))
 
 
 def fit_candidates(df: DataFrame, key: str, candidates: DataFrame, date: str = "ds", value: str = "y") -> DataFrame:
     """Fit every (series, order) row of ``candidates``; orders that cannot be fitted give no row."""
     kind = df.schema[key].dataType.simpleString()
+    names = [key, *[c.split()[0] for c in FITTED.split(", ")]]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = [int(pdf[c].iloc[0]) for c in _ORDER_NAMES]
-        found = _fit(_filled(pdf.sort_values(date)[value].to_numpy("float64")), order)
-        names = [c.split()[0] for c in FITTED.split(", ")]
-        if found is None:
-            return pd.DataFrame(columns=[key, *names])
-        row = {key: pdf[key].iloc[0], **dict(zip(_ORDER_NAMES, order)), **found}
-        return pd.DataFrame([row])[[key, *names]]
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for k, y, *order in zip(*[pdf[c] for c in (key, "_y", *_ORDER_NAMES)]):
+                order = [int(v) for v in order]
+                found = _fit(_values(y), order)
+                if found is not None:
+                    out.append({key: k, **dict(zip(_ORDER_NAMES, order)), **found})
+            if out:
+                yield pd.DataFrame(out)[names]
 
-    rows = df.select(key, date, clean_double(value).alias(value)).join(candidates, key)
-    return rows.groupBy(key, *_ORDER_NAMES).applyInPandas(run, f"{key} {kind}, {FITTED}")
+    rows = _packed(df, key, date, value).select(key, "_y").join(candidates.select(key, *_ORDER_NAMES), key)
+    return _spread(rows, key, *_ORDER_NAMES).mapInPandas(run, f"{key} {kind}, {FITTED}")
 
 
 def _orders(orders: Sequence[Sequence[int]]) -> Column:
@@ -242,14 +263,19 @@ def forecast(df: DataFrame, model: DataFrame, horizon: int = 30, level: float =
     """ds, yhat, yhat_lower, yhat_upper for the periods after each series' last date."""
     kind = df.schema[key].dataType.simpleString()
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        y = _filled(pdf.sort_values(date)[value].to_numpy("float64"))
-        mean, half = _ahead(y, first.const, np.array(first.ar), np.array(first.ma), first.sigma2, horizon, level)
-        return pd.DataFrame({key: first[key], "_last": pdf[date].max(), "_h": range(1, horizon + 1), "yhat": mean, "yhat_lower": mean - half, "yhat_upper": mean + half})
-
-    rows = df.select(key, F.col(date).cast("timestamp").alias(date), clean_double(value).alias(value)).join(model.select(key, "const", "ar", "ma", "sigma2"), key)
-    out = rows.groupBy(key).applyInPandas(run, f"{key} {kind}, _last timestamp, _h int, yhat double, yhat_lower double, yhat_upper double")
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for part in (pdf.iloc[i : i + FORECAST_SERIES] for i in range(0, len(pdf), FORECAST_SERIES)):
+                ahead = [
+                    _ahead(_values(y), const, np.array(ar), np.array(ma), sigma2, horizon, level)
+                    for y, const, ar, ma, sigma2 in zip(*[part[c] for c in ("_y", "const", "ar", "ma", "sigma2")])
+                ]
+                mean, half = (np.concatenate(x) for x in zip(*ahead))
+                at = part[[key, "_last"]].loc[part.index.repeat(horizon)].reset_index(drop=True)
+                yield at.assign(_h=np.tile(np.arange(1, horizon + 1), len(part)), yhat=mean, yhat_lower=mean - half, yhat_upper=mean + half)
+
+    rows = _packed(df, key, date, value).join(model.select(key, "const", "ar", "ma", "sigma2"), key)
+    out = _spread(rows, key).mapInPandas(run, f"{key} {kind}, _last timestamp, _h int, yhat double, yhat_lower double, yhat_upper double")
     when = F.col("_last") + F.col("_h") * F.expr(f"interval {step}")
     return out.select(key, when.alias("ds"), "yhat", "yhat_lower", "yhat_upper")
 
