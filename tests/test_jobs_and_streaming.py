@@ -59,3 +59,13 @@ def test_workspace_removes_its_tables(spark):
         assert held.count() == 10
     with pytest.raises(Exception):
         spark.read.parquet(held.inputFiles()[0]).count()
+
+
+def test_fraud_job_writes_the_scored_rows_once(spark, monkeypatch):
+    written = []
+    for module in (jobs, jobs.forest):
+        plain = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, _f=plain: written.append(df.columns) or _f(df))
+    out = jobs.fraud_job(views.transactions(spark, SF), trees=3)
+    assert sum("raw_score" in c or "anomaly_score" in c for c in written) == 1
+    assert out["scored"].count() == views.transactions(spark, SF).count()

@@ -101,3 +101,28 @@ def test_vote_rules(spark):
     assert hard == {1: (-1, 0.0), 2: (1, 1.0), 3: (-1, 1.0)}
     soft = {r.id: r.prediction for r in detectors.vote(df, ["a", "b"]).collect()}
     assert soft[2] == 1 and soft[3] == -1
+
+
+def test_scores_equal_a_walk_down_every_tree(spark):
+    rng = np.random.default_rng(3)
+    x = pd.DataFrame(rng.normal(size=(600, 30)).round(1), columns=[f"c{i}" for i in range(30)]).assign(id=range(600), whole=range(600))
+    x.loc[5, "c1"], x.loc[6, "c2"], x.loc[7, "c3"] = np.nan, np.inf, -np.inf
+    df = spark.createDataFrame(x)
+    names = [c for c in x.columns if c != "id"]
+    model = forest.fit(df, names, "id", trees=7, tree_rows=64)
+    clean = x[names].where(np.isfinite(x[names]), 0.0)
+    assert np.allclose([model.scaler.center[c] for c in names], clean.mean()) and np.allclose([model.scaler.scale[c] for c in names], clean.std(ddof=0))
+    scaled = ((clean - pd.Series(model.scaler.center)) / pd.Series(model.scaler.scale))[names].to_numpy()
+    lengths = np.zeros(len(x))
+    for _, t in model.nodes.groupby("tree"):
+        t = t.set_index("node")
+        for i, row in enumerate(scaled):
+            n = t.loc[0]
+            while n.feature >= 0:
+                n = t.loc[n.left if row[int(n.feature)] <= n.split else n.right]
+            lengths[i] += n.depth + forest.expected_path(n["size"])
+    want = -np.exp2(-lengths / 7 / forest.expected_path(64))
+    got = model.score(df).toPandas().sort_values("id").raw_score
+    assert np.allclose(got, want, rtol=1e-12, atol=0)
+    packed = [forest._packed(t) for _, t in model.nodes.groupby("tree")]
+    assert all(len(ends) == 2 ** (deepest + 1) - 1 for *_, ends, deepest in packed)

@@ -218,9 +218,13 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], method: str = "standard",
     elif method in ("standard", "minmax"):
         pair = (("a", F.avg), ("b", F.stddev_pop)) if method == "standard" else (("a", F.min), ("b", F.max))
         read = finite_or_zero if nulls_as_zero else clean_double
-        row = df.agg(*[f(read(c)).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in pair]).first()
-        center = {c: row[f"a{i}"] or 0.0 for i, c in enumerate(columns)}
-        scale = {c: (row[f"b{i}"] or 0.0) - (center[c] if method == "minmax" else 0.0) for i, c in enumerate(columns)}
+        # one line per value: an aggregate as wide as the table is far slower than a grouped one
+        values = df.select(F.posexplode(F.array(*[read(c) for c in columns])).alias("_i", "_x")) if columns else None
+        rows = values.groupBy("_i").agg(*[f("_x").alias(n) for n, f in pair]).collect() if columns else []
+        row = {r["_i"]: r for r in rows}
+        found = {c: (row[i]["a"], row[i]["b"]) if i in row else (None, None) for i, c in enumerate(columns)}
+        center = {c: a or 0.0 for c, (a, _) in found.items()}
+        scale = {c: (b or 0.0) - (center[c] if method == "minmax" else 0.0) for c, (_, b) in found.items()}
     else:
         raise ValueError(f"unknown scaling method: {method}")
     return Scaler(method, center, {c: v if math.isfinite(v) and v > 1e-12 else 1.0 for c, v in scale.items()})

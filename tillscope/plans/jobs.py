@@ -27,7 +27,7 @@ def fraud_job(df: DataFrame, mapping: Mapping[str, str] | None = None, contamina
     cleaned = materialize(cleaning.clean(data))
     features = materialize(txn_features.transaction_features(cleaned))
     flagged, model = forest.detect(features, cleaning.numeric_features(features, NOT_FEATURES), "transaction_id", contamination=contamination, trees=trees)
-    flagged = materialize(flagged)
+    # flags are a projection of the scores that ``detect`` has written
     out = {"flagged": flagged.where("is_flagged"), "scored": flagged, "model_info": model.info(df.sparkSession), "advice": forest.advice(flagged), "summary": sinks.fraud_summary(flagged)}
     if "is_fraud" in flagged.columns:
         judged = flagged.select(F.col("is_fraud").alias("y"), F.col("is_flagged").cast("long").alias("pred"), F.col("anomaly_score").alias("score"))
