@@ -7,6 +7,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
@@ -71,6 +72,47 @@ def test_alignment_equals_brute_force(odd, chunk):
     assert Counter(tuple(r[c] for c in COLUMNS) for r in got) == brute([(r[0], r[1]) for r in rows])
 
 
+@pytest.mark.parametrize("hot", [0, 40])
+def test_pairs_that_are_not_broadcast(odd, monkeypatch, hot):
+    frame, rows = odd
+    rows = [(r[0], r[1]) for r in rows] + [(10_005, "one more")] * 3
+    monkeypatch.setattr(AL, "HOT_PAIRS", hot)
+    frame = frame.select("doc_id", "text").unionByName(frame.sparkSession.createDataFrame([(10_005, "one more")] * 3, "doc_id long, text string"))
+    got = AL.alignment(frame, A, B).collect()
+    assert Counter(tuple(r[c] for c in COLUMNS) for r in got) == brute(rows)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(list("abZ01 .,'\n\t\u00a0\u3000\u2581\x85\x1c\u200b\u180e漢é🙂-")) | st.characters(exclude_categories=["Cs"]), min_size=1, max_size=40))
+def test_units_give_the_tokens_of_the_whole_text(text):
+    cut = AL._splitter(A, B)(text)
+    assert " ".join(cut) == text
+    (whole,), found = AL.tokens([text], A, B), AL.tokens(cut, A, B)
+    assert (whole is None) == any(f is None for f in found)
+    if whole is not None:
+        assert [i for f in found for i in f[0].tolist()] == whole[0].tolist() and [i for f in found for i in f[2].tolist()] == whole[2].tolist()
+
+
+def test_a_unit_is_tokenized_once(monkeypatch):
+    met = []
+    known = AL._flat
+    monkeypatch.setattr(AL, "_flat", lambda texts, *paths: met.extend(u for t in texts for u in t.split(" ")) or known(texts, *paths))
+    batch = pa.RecordBatch.from_pydict({"_row": [1, 2], "doc_id": [1, 2], "text": ["to be or not to be, " * 50 + "or", "not to be " * 3000 + "or"]})
+    out = [r for b in AL._chunked(iter([batch]), A, B, AL.CHUNK_BYTES) for r in b.to_pylist()]
+    assert len(met) == len(set(met)) and sum(map(len, met)) < 100 and {r["_row"] for r in out} == {1, 2}
+
+
+def test_a_small_store_of_units_gives_the_same(monkeypatch):
+    texts = [f"{w} und {w}{i % 7} the {i}, was" for i in range(300) for w in ("one", "two▁", "dré")]
+    batch = pa.RecordBatch.from_pydict({"_row": list(range(900)), "doc_id": list(range(900)), "text": texts})
+    run = lambda: [r for b in AL._chunked(iter([batch]), A, B, AL.CHUNK_BYTES) for r in b.to_pylist()]
+    want = run()
+    monkeypatch.setattr(AL, "SLICE_BYTES", 200)
+    for chars in (0, 50, 500):
+        monkeypatch.setattr(AL, "UNIT_CHARS", chars)
+        assert sorted(run(), key=lambda r: r["_row"]) == want
+
+
 def test_defined_cases(shared):
     frame = shared.createDataFrame([(1, None), (2, ""), (3, "a  b"), (3, "a  b"), (4, "x"), (5, "<s> hi </s>")], "doc_id long, text string")
     got = {(r.doc_id, r.groups_sha256): r for r in AL.alignment(frame, A, B).collect()}
