@@ -176,3 +176,17 @@ def test_every_page_goes_through_the_host_search(shared, monkeypatch):
     frame = shared.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
     assert {r.page_id: r.text for r in H.main_text(frame).collect()} == {r[0]: r[3] for r in rows}
     assert seen == [12]
+
+
+def test_pages_are_cut_once_and_html_is_never_shuffled(shared, monkeypatch):
+    """Repeats cannot change a page whose main element outweighs all blocks outside it; other pages meet their marks by their blocks."""
+    assert H.settled(["main text", "side"], [True, False]) and not H.settled(["main", "longer"], [True, False]) and not H.settled(["a"], [False]) and not H.settled([], [])
+    for texts, inside in ((["m" * 60, "s" * 60], [True, False]), (["m" * 60, "s" * 61], [True, False]), (["s" * 60], [False])):
+        options = {tuple(H.chosen_blocks(texts, inside, f, [1] * len(f))) for f in ([], [0], [0, 61], [61]) if not f or max(f) < sum(map(len, texts)) - 50}
+        assert len(options) == 1 or not H.settled(texts, inside)
+    own = {i: f"{word} is what page {i} says about {word}" for i, word in enumerate(("apples", "boats", "clouds", "dunes"))}
+    rows = [(i, "http://h.example/", f"<div>{'navigation words ' * 5}</div><div>{own[i]}</div><!-- {'x' * 9000} -->") for i in range(4)] + [(9, "http://h.example/", "<main><p>a\nb</p><p>c</p></main>")]
+    frame = shared.createDataFrame(rows, "page_id long, url string, html string")
+    out = H.main_text(frame)
+    assert {r.page_id: r.text for r in out.collect()} == {**own, 9: "a b\nc"}
+    assert "html" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
-
+import pyarrow as pa
 from tillscope.llm import line_dedup as L, simhash as S, suffix_dedup as D, suffix_sort as ss
 
 
@@ -161,3 +161,19 @@ def test_short_lines_and_scripts_without_spaces_are_units(shared):
     rows = [(1, f"Menu\n{line}\n甲。{passage}乙。\n\nend one"), (2, f"MENU\n{line}\n\n丙。{passage}丁。\nend two"), (3, "Menu\nmenu\n")]
     got = {r.doc_id: r.text for r in L.line_dedup(shared.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: rows[0][1], 2: "\n丙。丁。\nend two", 3: ""}
+
+
+def test_placed_texts_come_back_and_travel_compressed(monkeypatch):
+    docs = [7, -3, 2, 7, 12, 1 << 62]
+    texts = [b"", b"one two three " * 400, b"x", "é\0".encode() * 500, b"one two three " * 500, b"z" * 60]
+    batch = pa.RecordBatch.from_pydict({"_doc": docs, "_tag": [-1, 2, 3, 4, 5, 6], "_space": [0, -9, 1, 1, 1, 1], "_text": pa.array(texts, pa.binary())})
+    for limit in (1, 1 << 24):
+        monkeypatch.setattr(D, "OFFER_BYTES", limit)
+        sent = pa.Table.from_batches(D._place(5)(iter([batch])))
+        assert sum(map(len, sent.column("data").to_pylist())) < sum(map(len, texts)) / 4
+        back = []
+        for key in range(5):
+            names, tags, spaces, held = D._placed(sent.filter(pa.array([k == key for k in sent.column("key").to_pylist()])))
+            assert all(n % 5 == key for n in names.tolist())
+            back += zip(names.tolist(), tags.tolist(), spaces.tolist(), held)
+        assert sorted(back) == sorted(zip(docs, [-1, 2, 3, 4, 5, 6], [0, -9, 1, 1, 1, 1], texts))

@@ -37,12 +37,22 @@ def candidates(data: bytes) -> tuple[list[str], list[bool]]:
     return [t for t, _ in found], [inside for _, inside in found]
 
 
+def settled(texts: list[str], inside: list[bool]) -> bool:
+    """Whether all blocks outside the main element hold no more text than it: then no repeats can change the choice."""
+    main = sum(len(t) for t, m in zip(texts, inside) if m)
+    return any(inside) and sum(map(len, texts)) - main <= main
+
+
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches (_doc, _tag, _space, _html) to the streams of the pages' candidate blocks."""
+    """Batches (_box, _doc, _tag, _space, _html) to the streams of the pages' candidate blocks, one block a line."""
     for whole in batches:
         for batch in slices(whole, "_html", 4 << 20):
-            texts = ["\n".join(candidates(d)[0]).encode() for d in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.binary())], ["_doc", "_tag", "_space", "_text"])
+            found = [candidates(d) for d in batch.column(4).to_pylist()]
+            texts = ["\n".join(t).encode() for t, _ in found]
+            inside = pa.array([m for _, m in found], pa.list_(pa.bool_()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(texts, pa.binary()), inside, pa.array([settled(*f) for f in found], pa.bool_())], ["_box", "_doc", "_tag", "_space", "_text", "_inside", "_settled"]
+            )
 
 
 def uncovered(texts: list[str], first: list[int], number: list[int]) -> list[bool]:
@@ -68,14 +78,14 @@ def chosen_blocks(texts: list[str], inside: list[bool], first: list[int], number
     return [t for t, u in zip(texts, unique) if u] or texts
 
 
-def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches (_box, _html, _first, _number) to main texts."""
-    for whole in batches:
-        for batch in slices(whole, "_html", 4 << 20):
-            texts = []
-            for data, first, number in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                texts.append("\n".join(chosen_blocks(*candidates(data), first or [], number or [])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_box", "text"])
+def _choose_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches (_box, _text, _inside, _first, _number) to main texts."""
+    for batch in batches:
+        texts = []
+        for data, inside, first, number in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+            lines = data.decode().split("\n") if inside else []
+            texts.append("\n".join(chosen_blocks(lines, inside, first or [], number or [])))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_box", "text"])
 
 
 def host(url: Column) -> Column:
@@ -94,14 +104,20 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows = rows.withColumn("_tag", F.xxhash64("_html")).withColumn("_doc", document_key(F.col("_box.id"), F.col("_tag")))
     name = F.coalesce(host(F.col("_box.url").cast("string")), F.lit(""))
     space = F.when(name != "", F.xxhash64(name)).otherwise(F.xxhash64(F.col("_doc")))
-    streams = rows.select("_doc", "_tag", space.bitwiseOR(F.lit(1)).alias("_space"), "_html").mapInArrow(_streams, "_doc long, _tag long, _space long, _text binary")
-    marked = repeated(materialize(streams), every=True)  # a page is cut in blocks once for the search, once for its text
-
+    box = rows.schema["_box"].dataType.simpleString()
+    cut = rows.select("_box", "_doc", "_tag", space.bitwiseOR(F.lit(1)).alias("_space"), "_html").mapInArrow(
+        _streams, f"_box {box}, _doc long, _tag long, _space long, _text binary, _inside array<boolean>, _settled boolean"
+    )
+    streams = materialize(cut)
+    marked = repeated(streams.select("_doc", "_tag", "_space", "_text"), every=True)
+
+    # marks travel to the pages whose blocks they can change; those of the others have told the other pages of the host
     key = F.xxhash64("_doc", "_tag")
-    flagged = with_hit(rows, key, bitmap(marked.select(key.alias("_h")), "_h", BITS), BITS)
+    flagged = with_hit(streams.where("NOT _settled"), key, bitmap(marked.select(key.alias("_h")), "_h", BITS), BITS)
     none = F.array().cast("array<bigint>")
-    plain = flagged.where("NOT _hit").select("_box", "_html", none.alias("_first"), none.alias("_number"))
-    met = flagged.where("_hit").join(marked, ["_doc", "_tag"], "left").select("_box", "_html", "_first", "_number")
-    kind = f"_box {rows.schema['_box'].dataType.simpleString()}, text string"
-    out = plain.mapInArrow(_extract_batches, kind).unionByName(met.mapInArrow(_extract_batches, kind))
+    parts = ("_box", "_text", "_inside")
+    plain = streams.where("_settled").unionByName(flagged.where("NOT _hit").drop("_hit")).select(*parts, none.alias("_first"), none.alias("_number"))
+    met = flagged.where("_hit").join(marked, ["_doc", "_tag"], "left").select(*parts, "_first", "_number")
+    kind = f"_box {box}, text string"
+    out = plain.mapInArrow(_choose_batches, kind).unionByName(met.mapInArrow(_choose_batches, kind))
     return out.select(F.col("_box.id").alias(id_col), F.col("_box.url").alias(url_col), "text")

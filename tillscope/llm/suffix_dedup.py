@@ -244,6 +244,53 @@ def _marks(doc: np.ndarray, text: np.ndarray, place: np.ndarray) -> bytes:
     return _pack(doc[begin], text[begin], place[begin], number)
 
 
+def _place(buckets: int):
+    """Batches (_doc, _tag, _space, _text) to the texts of each document bucket, compressed together."""
+
+    def flush(docs: list[int], tags: list[int], spaces: list[int], texts: list[bytes]) -> pa.RecordBatch:
+        columns = [np.array(v, np.int64) for v in (docs, tags, spaces)]
+        home = _home(columns[0], buckets)
+        order = np.argsort(home, kind="stable")
+        keys, data = [], []
+        for key, a, b in _cuts(home[order]):
+            part = order[a:b]
+            held = [texts[i] for i in part.tolist()]
+            numbers = _pack(*(c[part].astype(np.uint64) for c in columns), np.array([len(t) for t in held], np.uint64))
+            keys.append(key)
+            data.append(len(numbers).to_bytes(4, "little") + numbers + zstandard.ZstdCompressor(level=3).compress(b"".join(held)))
+        return _batch(keys, [0] * len(keys), data)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list, ...] = ([], [], [], [])
+        size = 0
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                for column, v in zip(held, row):
+                    column.append(v)
+                size += len(row[3])
+                if size >= OFFER_BYTES:
+                    yield flush(*held)
+                    held, size = ([], [], [], []), 0
+        if held[0]:
+            yield flush(*held)
+
+    return run
+
+
+def _placed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """The documents of a bucket: _doc, _tag, _space and their texts."""
+    columns, texts = [], []
+    for data in table.column("data").to_pylist():
+        cut = 4 + int.from_bytes(data[:4], "little")
+        *numbers, size = (v.astype(np.int64) for v in _unpack(data[4:cut]))
+        columns.append(numbers)
+        raw = zstandard.ZstdDecompressor().decompress(data[cut:])
+        ends = np.cumsum(size).tolist()
+        texts += [raw[a:b] for a, b in zip([0, *ends], ends)]
+    names, tags, spaces = (np.concatenate(c) for c in zip(*columns)) if columns else [np.zeros(0, np.int64)] * 3
+    return names, tags, spaces, texts
+
+
 def _extract(buckets: int, shared, judge):
     """Documents of a bucket and their answers to marks (kind 1) and to first windows with their bytes (kind 0)."""
 
@@ -259,11 +306,9 @@ def _extract(buckets: int, shared, judge):
         doc, anchor = np.concatenate(docs), np.concatenate(anchors)
         # (document, anchor) pairs as one sorted array of hashes; a false hit only adds candidates
         known = np.sort(ss.mix(doc ^ (anchor * np.uint64(ss.BASE))))
-        names = np.array(left.column("_doc").to_pylist(), np.int64)
-        tags = np.array(left.column("_tag").to_pylist(), np.int64)
-        spaces = np.array(left.column("_space").to_pylist(), np.int64)
+        names, tags, spaces, texts = _placed(left)
         out: list[pa.RecordBatch] = []
-        for raw, starts, ends, number, offset in buffers(left.column("_text").to_pylist()):
+        for raw, starts, ends, number, offset in buffers(texts):
             head, count, place, found = ss.anchors(raw, starts, ends)
             piece = np.searchsorted(ends, head, "right")
             found = _within(found, spaces[number[piece]])
@@ -428,7 +473,7 @@ def repeated(texts: DataFrame, buckets: int | None = None, every: bool = False)
     # at most COMMON_PARTS anchors reach the limit
     common = np.sort(np.array([r[0] for r in weights.where(F.col("weight") >= limit).select("anchor").toLocalIterator()], np.uint64))
 
-    placed = long.select(F.pmod("_doc", F.lit(buckets)).cast("int").alias("key"), "_doc", "_tag", "_space", "_text")
+    placed = long.select("_doc", "_tag", "_space", "_text").mapInArrow(_place(buckets), _PACKED)
     asked = answers.select("key", "data").groupBy("key")
     sent = placed.groupBy("key").cogroup(asked).applyInArrow(_extract(buckets, spark.sparkContext.broadcast(common), judge), _PACKED)
     marks = sent.groupBy("key").applyInArrow(_settle(judge), _PACKED).select("data").mapInArrow(_ranges, "_doc long, _tag long, _first long, _number long")
