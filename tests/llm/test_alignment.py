@@ -95,6 +95,7 @@ def test_units_give_the_tokens_of_the_whole_text(text):
 
 def test_a_unit_is_tokenized_once(monkeypatch):
     met = []
+    AL._store.cache_clear()
     known = AL._flat
     monkeypatch.setattr(AL, "_flat", lambda texts, *paths: met.extend(u for t in texts for u in t.split(" ")) or known(texts, *paths))
     batch = pa.RecordBatch.from_pydict({"_row": [1, 2], "doc_id": [1, 2], "text": ["to be or not to be, " * 50 + "or", "not to be " * 3000 + "or"]})
@@ -110,6 +111,7 @@ def test_a_small_store_of_units_gives_the_same(monkeypatch):
     monkeypatch.setattr(AL, "SLICE_BYTES", 200)
     for chars in (0, 50, 500):
         monkeypatch.setattr(AL, "UNIT_CHARS", chars)
+        AL._store.cache_clear()
         assert sorted(run(), key=lambda r: r["_row"]) == want
 
 

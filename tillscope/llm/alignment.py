@@ -14,7 +14,7 @@ than one fragment take part in the next level. Short documents have one fragment
 
 Units. Where both tokenizers always cut (a single space between two other characters, checked on the
 two models, see ``_splitter``) a text falls into units whose tokens do not depend on what stands around
-them. A unit's tokens, groups and links are found once while a task holds it (``_Units``) and a text's
+them. A unit's tokens, groups and links are found once while a worker holds it (``_Units``) and a text's
 fragment is composed of its units'. With models that do not allow it a unit is the whole text.
 
 Corpus side: each document's distinct linked (A id, B id) pairs, with their link multiplicity, are
@@ -48,7 +48,7 @@ from tillscope.llm.common import bitmap, materialize, prepare, slices, with_hit
 
 CHUNK_BYTES = 1 << 14
 SLICE_BYTES = 1 << 20  # text bytes tokenized at once in a task, so that a task's memory stays bounded
-UNIT_CHARS = 3 << 20  # characters of different units that a task holds before it gives up the rare ones
+UNIT_CHARS = 3 << 20  # characters of different units that a worker holds before it gives up the rare ones
 RUN_UNITS = 64  # units that are tokenized as one string, where both tokenizers cut between them
 LEARN_CHARS = 1 << 18  # characters of units that are tokenized at once
 HOT_PAIRS = 1 << 19  # pairs whose counts are broadcast
@@ -371,8 +371,14 @@ class _Units:
         return np.bincount(doc, minlength=docs), pair >> 32, pair & 0xFFFFFFFF, m
 
 
+@lru_cache(maxsize=1)
+def _store(a_path: str, b_path: str, chunk_bytes: int) -> _Units:
+    """The units of a worker process: a task finds what earlier ones met."""
+    return _Units(a_path, b_path, chunk_bytes)
+
+
 def _chunked(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
-    units = _Units(a_path, b_path, chunk_bytes)
+    units = _store(a_path, b_path, chunk_bytes)
     a_len, b_len = _tokenizers(a_path, b_path)[4]
     for batch in (s for whole in batches for s in slices(whole, "text", SLICE_BYTES)):
         rows, ids, texts = (batch.column(i).to_pylist() for i in range(3))
