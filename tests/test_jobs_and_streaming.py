@@ -69,3 +69,14 @@ def test_fraud_job_writes_the_scored_rows_once(spark, monkeypatch):
     out = jobs.fraud_job(views.transactions(spark, SF), trees=3)
     assert sum("raw_score" in c or "anomaly_score" in c for c in written) == 1
     assert out["scored"].count() == views.transactions(spark, SF).count()
+
+
+def test_written_tables_are_zstd(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from tillscope import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    out = session.materialize(spark.createDataFrame([(1, "a"), (2, None)], "k long, v string"))
+    files = list(tmp_path.glob("tables/*/*.parquet"))
+    assert out.count() == 2 and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).num_row_groups} == {"ZSTD"}
