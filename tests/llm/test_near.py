@@ -69,6 +69,41 @@ def test_links_in_crowded_halves(shared, crowd):
     assert got == expected
 
 
+def shuffled_rows(plan):
+    """Rows that the exchanges of an executed plan wrote."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return shuffled_rows(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return shuffled_rows(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+    return own + sum(shuffled_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+@pytest.mark.parametrize("crowd", [0, 32])
+def test_probes_without_a_partner_are_not_shuffled(shared, crowd):
+    """Where the halves are too many to broadcast, only probes that may meet a fingerprint move."""
+    random.seed(8)
+    n = 3000
+    values = sorted({random.getrandbits(64) - (1 << 63) for _ in range(n)} | {5, 4})
+    held = shared.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    shared.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = S.links(shared.createDataFrame([(v,) for v in values], "_fp long"), crowd=crowd)
+        assert [(r.a, r.b) for r in found.collect()] == [(4, 5)]
+        assert shuffled_rows(found._jdf.queryExecution().executedPlan()) < 20 * n  # before: 33 probes of each, and more where halves are crowded
+    finally:
+        shared.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def test_bitmap_of_halves_loses_no_link(shared):
+    """A full bitmap lets every probe through and changes nothing."""
+    values = [(v << 32) + w for v in range(40) for w in (0, 3, 1 << 20)]
+    frame = shared.createDataFrame([(v,) for v in values], "_fp long")
+    got = sorted((r.a, r.b) for r in S.links(frame, bits=32_768).collect())
+    assert got == sorted((a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 2)
+
+
 def test_components_of_a_long_path(shared):
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000 + i, 1000) for i in range(1, 40)]
     random.shuffle(edges)

@@ -5,7 +5,8 @@ bit of the high half, or agree in the low half. So a fingerprint probes the tabl
 the ball of radius one around its own, and the table of low halves with its own; every match is
 verified on all 64 bits. Where many fingerprints share a half, listing them would give all pairs of a
 group; there the ball is enumerated in the other half too, and the probe is an exact look-up of a
-whole fingerprint: at most 529 probes per fingerprint and no pair that is not a link.
+whole fingerprint: at most 529 probes per fingerprint and no pair that is not a link. Probes meet a
+bitmap of what exists before any join, so nearly all die in the task that made them.
 
 Only distinct fingerprints are linked. Components come from alternating star contraction over the
 links, written to the shared folder after every round.
@@ -89,7 +90,13 @@ def _masks(values: list[int]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if len(values) < 40 else F.from_json(F.lit(str(values)), "array<bigint>")
 
 
-def links(distinct: DataFrame, max_bits: int = 2, crowd: int = CROWD) -> DataFrame:
+def _known(probes: DataFrame, values: DataFrame, name: str, bits: int) -> DataFrame:
+    """The probes whose column ``name`` may hold one of ``values``, by a bitmap of fixed size."""
+    cells = bitmap(values.select(F.xxhash64(name).alias("_h")), "_h", bits)
+    return with_hit(probes, F.xxhash64(name), cells, bits).where("_hit").drop("_hit")
+
+
+def links(distinct: DataFrame, max_bits: int = 2, crowd: int = CROWD, bits: int = FIRST_BITS) -> DataFrame:
     """Pairs (a, b), a < b, of distinct fingerprints that differ in one or two bits; ``distinct`` holds ``_fp``."""
     if max_bits not in (0, 1, 2):
         raise ValueError("the enumeration is laid out for at most two bits")
@@ -97,9 +104,11 @@ def links(distinct: DataFrame, max_bits: int = 2, crowd: int = CROWD) -> DataFra
     low = distinct.groupBy(_low(F.col("_fp")).alias("_half")).agg(F.count(F.lit(1)).alias("_n"))
     fp = F.col("_fp")
 
-    # ball of radius one around the high half; a probe that no fingerprint has dies in the first join
-    probes = distinct.select("_fp", F.explode(_masks(_flips(1)).cast("array<bigint>")).alias("_mask"))
-    probes = probes.withColumn("_half", _high(fp).bitwiseXOR(F.col("_mask"))).join(high, "_half")
+    # ball of radius one around the high half; a probe that a bitmap of the halves surely has not never moves, nor does
+    # a fingerprint's own half that no other has
+    own = distinct.withColumn("_mask", F.lit(0).cast("long")).withColumn("_half", _high(fp))
+    around = distinct.select("_fp", F.explode(_masks(_flips(1)[1:]).cast("array<bigint>")).alias("_mask")).withColumn("_half", _high(fp).bitwiseXOR(F.col("_mask")))
+    probes = _known(own, high.where("_n > 1"), "_half", bits).unionByName(_known(around, high, "_half", bits)).join(high, "_half")
     near = probes.where(F.col("_n") <= crowd).join(distinct.select(F.col("_fp").alias("_other"), _high(F.col("_fp")).alias("_half")), "_half").select("_fp", "_other")
     # a crowded half: the rest of the distance is enumerated in the low half
     crowded = probes.where(F.col("_n") > crowd)
@@ -107,13 +116,13 @@ def links(distinct: DataFrame, max_bits: int = 2, crowd: int = CROWD) -> DataFra
     far = crowded.select("_fp", "_half", tail.alias("_tail")).select("_fp", F.shiftleft("_half", 32).bitwiseOR(_low(fp).bitwiseXOR(F.col("_tail"))).alias("_other"))
 
     # equal low halves, two bits of the high half apart
-    mates = distinct.withColumn("_half", _low(fp)).join(low.where("_n > 1"), "_half")
+    mates = _known(distinct.withColumn("_half", _low(fp)), low.where("_n > 1"), "_half", bits).join(low.where("_n > 1"), "_half")
     same = mates.where(F.col("_n") <= crowd).join(distinct.select(F.col("_fp").alias("_other"), _low(F.col("_fp")).alias("_half")), "_half").select("_fp", "_other")
     packed = mates.where(F.col("_n") > crowd).select("_fp", "_half", F.explode(_masks(_flips(2, exact=False))).alias("_tail"))
     wide = packed.select("_fp", F.shiftleft(_high(fp).bitwiseXOR(F.col("_tail")), 32).bitwiseOR(F.col("_half")).alias("_other"))
 
     known = distinct.select(F.col("_fp").alias("_other"))
-    looked_up = far.unionByName(wide).where("_fp < _other").join(known, "_other").select("_fp", "_other")
+    looked_up = _known(far.unionByName(wide).where("_fp < _other"), known, "_other", bits).join(known, "_other").select("_fp", "_other")
     found = near.unionByName(same).where("_fp < _other").unionByName(looked_up).where(F.bit_count(fp.bitwiseXOR(F.col("_other"))) <= max_bits)
     return found.select(F.col("_fp").alias("a"), F.col("_other").alias("b")).distinct()
 
