@@ -116,3 +116,25 @@ def test_filling_meets_few_of_many_equal_donors(spark, monkeypatch):
             near = sorted((abs(a - r[1]), r[0], r[2]) for r in rows[:60] if r[2] is not None)[:3]
             b = sum(v for _, _, v in near) / 3
         assert got[i] == pytest.approx((a, b))
+
+
+def test_filling_asks_once_for_rows_that_agree(spark, monkeypatch):
+    """Candidates grow with the distinct known values, not with the rows; a repeated key still leaves itself out."""
+    rows = [(i, float(i % 10), None if i % 2 else float(i % 10) + 0.5) for i in range(2000)] + [(5000, 3.0, None), (5000, 3.0, 100.0)]
+    frame = spark.createDataFrame(rows, "id long, a double, b double")
+    sizes = []
+    plain = N.materialize
+
+    def counted(df):
+        out = plain(df)
+        if "_dp" in out.columns:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "materialize", counted)
+    got = {}
+    for r in N.fill_nearest(frame, "id", ["a", "b"], 3).collect():
+        got.setdefault(r.id, []).append(r.b)
+    assert sizes and sum(sizes) <= 5 * 3 + 3 + 5  # before: three for each of 1001 rows
+    assert got[1] == [pytest.approx((0.5 + 2.5 + 0.5) / 3)]  # rows 0, 2 and 10
+    assert sorted(got[5000]) == [pytest.approx((2.5 + 4.5 + 2.5) / 3), pytest.approx(100.0)]  # the other row of the key is no neighbour

@@ -226,11 +226,11 @@ def _found(names: Sequence[str], k: int):
     return search
 
 
-def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int, cell_rows: int = CELL_ROWS, donors: DataFrame | None = None) -> DataFrame:
+def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int, cell_rows: int = CELL_ROWS, donors: DataFrame | None = None, apart: bool = False) -> DataFrame:
     """(q, o, d, rank): the k nearest rows o of every row q (Euclidean over ``columns``, nulls as 0), exact.
 
     o ranges over ``donors`` when given (same key and columns), else over ``df``; a row is never its own
-    neighbour (same key). Keys are bigint; a key that m rows share counts m times on either side, and a
+    neighbour (same key), unless the keys of the donors are of another kind (``apart``). Keys are bigint; a key that m rows share counts m times on either side, and a
     null key asks for nothing. Rows with a coordinate that is not finite have no neighbours and are
     nobody's. Fewer than k candidates: all of them.
     """
@@ -288,7 +288,8 @@ def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int, cell_rows:
         found = dealt(sent.withColumn("_key", F.lit(None).cast("long")).withColumn("_w", F.lit(None).cast("long"))).applyInArrow(_found(names, k + 1), FOUND)
     merged = found.groupBy("_loc").agg(F.slice(F.array_sort(F.flatten(F.collect_list("_near"))), 1, k + 1).alias("_near"))
     near = merged.join(locations.select("_loc", *names), "_loc").drop("_loc")
-    lists = asked.join(near, names).select(F.col("_key").alias("q"), F.filter("_near", lambda a: ~F.col("_key").eqNullSafe(a["o"])).alias("_near"))
+    others = F.col("_near") if apart else F.filter("_near", lambda a: ~F.col("_key").eqNullSafe(a["o"]))
+    lists = asked.join(near, names).select(F.col("_key").alias("q"), others.alias("_near"))
 
     shared = asked.groupBy("_key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
     if shared.isEmpty() and points.where("_w > 1").isEmpty():
@@ -310,44 +311,69 @@ def fill_nearest(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, ce
     A column without any donor in reach gets the column mean (null for an all-null column). Rows are
     grouped by their pattern of known columns (at most 2^len(columns) patterns; only those that occur);
     for each pair of query and donor patterns the search runs in the shared columns, scaled, and the k best
-    per pattern pair are merged per missing column. Keys must be unique and not null.
+    per pattern pair are merged per missing column. Rows that agree in all known columns are one query: work
+    beyond reading, grouping and one join grows with the distinct rows. Keys should be unique and not null.
     """
     columns = list(columns)
     flags = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in columns]
     pattern = sum((F.when(f, 1 << i).otherwise(0) for i, f in enumerate(flags)), F.lit(0))
     rows = materialize(df.select(F.col(key).cast("long").alias(key), *[F.when(f, F.col(c).cast("double")).alias(c) for f, c in zip(flags, columns)]).withColumn("_p", pattern))
-    found = [r["_p"] for r in rows.select("_p").distinct().collect()]
     full = (1 << len(columns)) - 1
-    parts = []
-    for qp in found:
-        missing = [i for i in range(len(columns)) if not qp >> i & 1]
-        if qp == 0 or not missing:
-            continue
-        for dp in found:
-            shared = [columns[i] for i in range(len(columns)) if qp >> i & 1 and dp >> i & 1]
-            useful = [columns[i] for i in missing if dp >> i & 1]
-            if not shared or not useful:
-                continue
-            scale = math.sqrt(len(columns) / len(shared))
-            pairs = nearest(rows.where(F.col("_p") == qp), key, shared, k, cell_rows, donors=rows.where(F.col("_p") == dp))
-            parts.append(pairs.select("q", "o", (F.col("d") * scale).alias("d"), F.lit(dp).alias("_dp")))
+    found = [r["_p"] for r in rows.select("_p").distinct().collect()]
     means = rows.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    if not parts:
-        return rows.select(key, *[F.coalesce(F.col(c), F.lit(means[c])).alias(c) for c in columns])
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
     donors = rows.select(F.col(key).alias("o"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(columns)])
-    cands = materialize(cands.join(donors, "o"))
-    filled = {}
-    for i, c in enumerate(columns):
-        usable = cands.where(F.col("_dp").bitwiseAND(1 << i) != 0)
-        best = usable.withColumn("_r", F.row_number().over(Window.partitionBy("q").orderBy("d", "o"))).where(F.col("_r") <= k)
-        filled[c] = best.groupBy(F.col("q").alias(key)).agg(F.avg(f"_v{i}").alias(f"_f{i}"))
-    out = rows
-    for i, c in enumerate(columns):
-        out = out.join(filled[c], key, "left").withColumn(c, F.coalesce(F.col(c), F.col(f"_f{i}"), F.lit(means[c]))).drop(f"_f{i}")
-    return out.select(key, *columns)
+
+    def filled(queries: DataFrame, patterns: Sequence[int], apart: bool) -> DataFrame | None:
+        """Per key of ``queries`` as ``_q``: the fill of each column (``_f0``, ``_f1``, ...) where it has one."""
+        cands = None
+        for qp in patterns:
+            missing = [i for i in range(len(columns)) if not qp >> i & 1]
+            for dp in found if qp and missing else []:
+                shared = [columns[i] for i in range(len(columns)) if qp >> i & 1 and dp >> i & 1]
+                if not shared or not any(dp >> i & 1 for i in missing):
+                    continue
+                scale = math.sqrt(len(columns) / len(shared))
+                pairs = nearest(queries.where(F.col("_p") == qp), key, shared, k, cell_rows, rows.where(F.col("_p") == dp), apart)
+                part = pairs.select(F.col("q").alias("_q"), "o", (F.col("d") * scale).alias("d"), F.lit(dp).alias("_dp"))
+                cands = part if cands is None else cands.unionByName(part)
+        if cands is None:
+            return None
+        cands = materialize(cands.join(donors, "o"))
+        fills = None
+        for i in range(len(columns)):
+            usable = cands.where(F.col("_dp").bitwiseAND(1 << i) != 0)
+            best = usable.withColumn("_r", F.row_number().over(Window.partitionBy("_q").orderBy("d", "o"))).where(F.col("_r") <= k)
+            fill = best.groupBy("_q").agg(F.avg(f"_v{i}").alias(f"_f{i}"))
+            fills = fill if fills is None else fills.join(fill, "_q", "full")
+        return materialize(fills)
+
+    # rows with equal known columns take the same fills, which are searched once; a key on several rows leaves itself out, so it asks alone
+    again = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) & F.col(key).isNotNull()).select(key))
+    repeats = not again.isEmpty()
+    single = rows.join(again, key, "left_anti") if repeats else rows
+    asking = single.where(F.col(key).isNotNull() & (F.col("_p") != full) & (F.col("_p") != 0))
+    places = materialize(asking.select(*columns, "_p").distinct().withColumn(key, F.monotonically_increasing_id()))
+    known = [F.coalesce(F.col(c), F.lit(0.0)).alias(f"_c{i}") for i, c in enumerate(columns)]
+    on = ["_p", *[f"_c{i}" for i in range(len(columns))]]
+
+    def complete(held: DataFrame, fills: DataFrame, by: Sequence[str]) -> DataFrame:
+        """The rows with their fills, then with the means."""
+        met = held.join(fills, list(by), "left") if by else held
+        return met.select(key, *[F.coalesce(F.col(c), *([F.col(f"_f{i}")] if by else []), F.lit(means[c])).alias(c) for i, c in enumerate(columns)])
+
+    def finished(held: DataFrame, queries: DataFrame, apart: bool) -> DataFrame:
+        patterns = [r["_p"] for r in queries.select("_p").distinct().collect()]
+        fills = filled(queries, patterns, apart)
+        if fills is None:
+            return complete(held, held, [])
+        if not apart:
+            return complete(held, fills.withColumnRenamed("_q", key), [key])
+        fills = queries.select(F.col(key).alias("_q"), "_p", *known).join(fills, "_q").drop("_q")
+        out = complete(held.where(F.col(key).isNotNull() & (F.col("_p") != full)).select("*", *known), fills, on)
+        return out.unionByName(complete(held.where(F.col(key).isNull() | (F.col("_p") == full)), held, []))
+
+    out = finished(single, places, True)
+    return out.unionByName(finished(*[rows.join(again, key, "left_semi")] * 2, False)) if repeats else out
 
 
 def local_outlier_factor(df: DataFrame, key: str, columns: Sequence[str], k: int = 20, cell_rows: int = CELL_ROWS) -> DataFrame:
