@@ -212,3 +212,17 @@ def test_placed_texts_come_back_and_travel_compressed(monkeypatch):
             assert all(n % 5 == key for n in names.tolist())
             back += zip(names.tolist(), tags.tolist(), spaces.tolist(), held)
         assert sorted(back) == sorted(zip(docs, [-1, 2, 3, 4, 5, 6], [0, -9, 1, 1, 1, 1], texts))
+
+
+def test_pairs_travel_as_steps_and_places():
+    """Pairs come back whole for any id, and take a good part less than plain arrays of ids and anchors."""
+    rng, buckets, n = np.random.default_rng(4), 53, 4000
+    bucket = 7
+    doc = (rng.integers(-50, 2000, n) * buckets + bucket).astype(np.int64)
+    doc[:3] = [(1 << 62) + (bucket - (1 << 62)) % buckets, -(1 << 40) + (bucket + (1 << 40)) % buckets, bucket]
+    assert (doc % buckets == bucket).all()
+    anchor = np.sort(rng.integers(0, 1 << ss.ANCHOR_BITS, n).astype(np.uint64))
+    data = D._pack_pairs(doc.astype(np.uint64), anchor, np.zeros(n), buckets)
+    got = D._unpack_pairs(data, bucket, buckets)
+    assert (got[0].astype(np.int64) == doc).all() and (got[1] == anchor).all() and not got[2].any()
+    assert len(data) < 0.9 * len(D._pack(doc, anchor, np.zeros(n)))

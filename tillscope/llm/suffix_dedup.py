@@ -39,6 +39,7 @@ LEAST_BUCKETS = 48
 COMMON_PARTS = 100_000  # at most twice as many anchors can be common
 COMMON_LEAST = 10_000
 FIRST_BITS = 1 << 26
+TEXT_LEVEL = 9  # of zstandard, for texts and windows on their way
 
 _PACKED = "key int, kind int, data binary"
 
@@ -69,6 +70,16 @@ def _home(doc: np.ndarray, buckets: int) -> np.ndarray:
     return doc.astype(np.int64) % buckets
 
 
+def _pack_pairs(doc: np.ndarray, anchor: np.ndarray, total: np.ndarray, buckets: int) -> bytes:
+    """Pairs of one document bucket, anchors ascending: documents by their place in the bucket, anchors by their steps."""
+    return _pack(doc.astype(np.int64) // buckets, np.diff(anchor, prepend=np.uint64(0)), total)
+
+
+def _unpack_pairs(data: bytes, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    turn, step, total = _unpack(data)
+    return (turn.astype(np.int64) * buckets + bucket).astype(np.uint64), np.cumsum(step, dtype=np.uint64), total
+
+
 def _within(anchor: np.ndarray, space: np.ndarray) -> np.ndarray:
     """Anchor ids of a space of their own; space 0 leaves them as they are."""
     if not space.any():
@@ -145,7 +156,7 @@ def _offer(buckets: int):
             for key, a, b in _cuts(place[order]):
                 keys.append(buckets + key)
                 kinds.append(1)
-                data.append(_pack(doc[order[a:b]], anchor[order[a:b]]))
+                data.append(_pack_pairs(doc[order[a:b]], anchor[order[a:b]], np.zeros(b - a), buckets))
         return _batch(keys, kinds, data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,8 +189,7 @@ def _answer(buckets: int):
             names = batch.schema.names
             for kind, data in zip(batch.column(names.index("kind")).to_pylist(), batch.column(names.index("data")).to_pylist()):
                 if kind == 1:
-                    doc, anchor = _unpack(data)
-                    yield _batch([key[0].as_py() - buckets], [1], [_pack(doc, anchor, np.zeros(len(doc)))])
+                    yield _batch([key[0].as_py() - buckets], [1], [data])
                     continue
                 step, doc, count, least = _unpack(data)
                 anchors.append(np.cumsum(step, dtype=np.uint64))
@@ -197,13 +207,14 @@ def _answer(buckets: int):
         group = np.cumsum(head) - 1
         several = ((low != high) | (np.maximum.reduceat(count, begin) > 1))[group]
         anchor, doc, total = anchor[several], doc[several], total[group][several]
+        total = np.where(total >= COMMON_LEAST, total, 0)  # no other weight is looked at
         place = _home(doc, buckets)
         order = np.argsort(place, kind="stable")
         keys, data = [], []
         for bucket, a, b in _cuts(place[order]):
             part = order[a:b]
             keys.append(bucket)
-            data.append(_pack(doc[part], anchor[part], total[part]))
+            data.append(_pack_pairs(doc[part], anchor[part], total[part], buckets))
         yield _batch(keys, [0] * len(keys), data)
 
     return run
@@ -213,7 +224,7 @@ def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Answers to (anchor, weight) of the anchors that are worth a look."""
     for batch in batches:
         for data in batch.column(2).to_pylist():
-            _, anchor, total = _unpack(data)
+            _, anchor, total = _unpack_pairs(data, 0, 1)
             heavy = total >= COMMON_LEAST
             if heavy.any():
                 found, where = np.unique(anchor[heavy], return_index=True)
@@ -257,7 +268,7 @@ def _place(buckets: int):
             held = [texts[i] for i in part.tolist()]
             numbers = _pack(*(c[part].astype(np.uint64) for c in columns), np.array([len(t) for t in held], np.uint64))
             keys.append(key)
-            data.append(len(numbers).to_bytes(4, "little") + numbers + zstandard.ZstdCompressor(level=3).compress(b"".join(held)))
+            data.append(len(numbers).to_bytes(4, "little") + numbers + zstandard.ZstdCompressor(level=TEXT_LEVEL).compress(b"".join(held)))
         return _batch(keys, [0] * len(keys), data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +311,7 @@ def _extract(buckets: int, shared, judge):
             return _batch([], [], []).schema.empty_table()
         docs, anchors = [], []
         for data in right.column("data").to_pylist():
-            doc, anchor, _ = _unpack(data)
+            doc, anchor, _ = _unpack_pairs(data, key[0].as_py(), buckets)
             docs.append(doc)
             anchors.append(anchor)
         doc, anchor = np.concatenate(docs), np.concatenate(anchors)
@@ -357,7 +368,7 @@ def _send(raw, kept, window, of, found, place, piece, starts, number, offset, na
         numbers = _pack(
             key[rows], ahead[rows], count[rows], names[where].astype(np.uint64), tags[where].astype(np.uint64), (window[rows] - starts[part_of[rows]] + offset[part_of[rows]]).astype(np.uint64)
         )
-        text = zstandard.ZstdCompressor(level=1).compress(raw[run].tobytes())
+        text = zstandard.ZstdCompressor(level=TEXT_LEVEL).compress(raw[run].tobytes())
         keys.append(value)
         data.append(len(numbers).to_bytes(4, "little") + numbers + text)
     return _batch(keys, [0] * len(keys), data)
