@@ -12,9 +12,9 @@ Plan (two rounds, exact at any size):
    the k + 1 nearest of all visited cells remain. Each row then leaves out its own key. Ties are broken
    by the key.
 
-In a cell, rows and queries are put in blocks by the same median cuts; a block of queries meets the
-blocks whose boxes are in reach by one matrix product, which only sorts out what is too far: the
-distances of what remains are computed from the differences.
+In a cell, rows and queries are put in blocks by the same median cuts; the blocks nearest to a block of
+queries bound their distances, then each block of rows meets the queries that reach its box by one matrix
+product, which only sorts out what is too far: the distances of what remains are computed from the differences.
 
 LOF (Breunig et al. 2000): reach(p, o) = max(k-distance(o), d(p, o)); lrd(p) = 1 / (mean reach + 1e-10);
 lof(p) = mean lrd(o) / lrd(p) over p's k neighbours, all by joins and aggregates.
@@ -22,21 +22,25 @@ lof(p) = mean lrd(o) / lrd(p) over p's k neighbours, all by joins and aggregates
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillscope.session import materialize
 
 CELL_ROWS = 8_000
 MAX_CELLS = 4_096
+MANY_CELLS, LARGE_CELL = 256, 4  # from so many cells on, a cell grows to so many times its rows before there are more
 SAMPLE_PER_CELL = 64
-BLOCK = 256
-PRODUCT_ROWS = 16_384  # points that one matrix product takes
+BLOCK = 128
+FIRST_BLOCKS = 4  # blocks of points that give a first bound
+ASKED_BLOCKS = 32  # blocks of queries that meet the points together
+PRODUCT_ROWS = 16_384  # queries that one matrix product takes
 FOUND = "_loc long, _near array<struct<d:double,o:bigint,w:bigint>>"
 _LAST = np.iinfo(np.int64).max
 
@@ -108,67 +112,90 @@ def _box_distance(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarra
     return out
 
 
+class _Leaves:
+    """Points in blocks with their boxes: which of them lie how near to queries, by matrix products around the centre of each block."""
+
+    def __init__(self, points: np.ndarray):
+        self.points, self.blocks = points, _blocks(points)
+        self.low, self.high = (np.array([f(points[b], axis=0) for b in self.blocks]) for f in (np.min, np.max))
+        self.sizes = np.array([len(b) for b in self.blocks])
+
+    def gaps(self, queries: np.ndarray) -> np.ndarray:
+        return _box_distance(queries, self.low, self.high)
+
+    def _product(self, queries: np.ndarray, rows: np.ndarray, center: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances of queries and points, and how far they can be off (per query)."""
+        q, p = queries - center, self.points[rows] - center
+        own, square = (q * q).sum(1), (p * p).sum(1)
+        return own[:, None] + square[None] - 2 * (q @ p.T), 1e-12 * (own + square.max())
+
+    def bound(self, queries: np.ndarray, gaps: np.ndarray, k: int) -> tuple[np.ndarray | None, bool]:
+        """An upper bound of each k-th distance from the blocks nearest to all the queries (None: fewer than k points); whether these are all blocks."""
+        order = np.argsort(gaps.min(0), kind="stable")
+        first = order[: max(FIRST_BLOCKS, int(np.searchsorted(np.cumsum(self.sizes[order]), k)) + 1)]
+        rows = np.concatenate([self.blocks[b] for b in first])
+        if len(rows) < k:
+            return None, len(first) == len(self.blocks)
+        square, off = self._product(queries, rows, queries.mean(0))
+        return np.sqrt(np.maximum(np.partition(square, k - 1, axis=1)[:, k - 1], 0) + off) * (1 + 1e-12), len(first) == len(self.blocks)
+
+    def within(self, queries: np.ndarray, gaps: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, point, distance) of all pairs within the bound of the query; a block meets the queries that reach its box."""
+        reach = bound**2 * (1 + 1e-12)
+        block, asks = np.nonzero((gaps <= reach[:, None]).T)
+        edges = np.searchsorted(block, np.arange(len(self.blocks) + 1))
+        found = []
+        for b in np.flatnonzero(np.diff(edges)):
+            rows = self.blocks[b]
+            center = (self.low[b] + self.high[b]) / 2
+            for start in range(edges[b], edges[b + 1], PRODUCT_ROWS):
+                q = asks[start : min(start + PRODUCT_ROWS, edges[b + 1])]
+                square, off = self._product(queries[q], rows, center)
+                qi, pi = np.nonzero(square <= (reach[q] + off)[:, None])
+                found.append((q[qi], rows[pi]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        qi, pi = (np.concatenate(v) for v in zip(*found))
+        d = np.sqrt(((queries[qi] - self.points[pi]) ** 2).sum(-1))
+        ok = d <= bound[qi]
+        return qi[ok], pi[ok], d[ok]
+
+
+def _met(points: np.ndarray, queries: np.ndarray, radius: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By part of the queries: their numbers; pairs (place in the part, point, distance) that hold all within the radius and the k-th distance."""
+    if not len(points) or not len(queries):
+        return
+    leaves, blocks = _Leaves(points), _blocks(queries)
+    for start in range(0, len(blocks), ASKED_BLOCKS):
+        part = blocks[start : start + ASKED_BLOCKS]
+        gaps, bounds = [], []
+        for q in part:
+            gaps.append(leaves.gaps(queries[q]))
+            near, _ = leaves.bound(queries[q], gaps[-1], k)
+            bounds.append(radius[q] if near is None else np.minimum(radius[q], near))
+        q = np.concatenate(part)
+        yield q, *leaves.within(queries[q], np.concatenate(gaps), np.concatenate(bounds))
+
+
 def _nearest_in(points: np.ndarray, keys: np.ndarray, queries: np.ndarray, radius: np.ndarray, k: int, distances_only: bool = False):
     """The k nearest points of each query that lie within its radius, ties by key.
 
-    Gives (query, point, distance) sorted by query, distance and key; with ``distances_only`` an upper
-    bound of each query's k-th smallest distance (infinite with fewer than k points).
+    Gives (query, point, distance) sorted by query, distance and key; with ``distances_only`` the smaller of
+    each query's radius and its k-th smallest distance (the radius with fewer than k points).
     """
     bound = radius.astype("float64").copy()
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    if len(points) and len(queries):
-        center = points.mean(0)
-        blocks = _blocks(points)
-        low, high = (np.array([f(points[b], axis=0) for b in blocks]) for f in (np.min, np.max))
-        sizes = np.array([len(b) for b in blocks])
-        shifted = points - center
-        square = (shifted * shifted).sum(1)
-        slack = 1e-12 * max(square.max(), 1e-300)
-
-        def distance(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
-            moved = queries[q] - center
-            own = (moved * moved).sum(1)
-            return own[:, None] + square[None, rows] - 2 * (moved @ shifted[rows].T) - 1e-12 * own[:, None] - slack  # a lower bound
-
-        for q in _blocks(queries):
-            gaps = _box_distance(queries[q], low, high)
-            # the boxes nearest to the block give a first bound
-            order = np.argsort(gaps.min(0), kind="stable")
-            first = order[: max(2, int(np.searchsorted(np.cumsum(sizes[order]), k)) + 1)]
-            rows = np.concatenate([blocks[b] for b in first])
-            if len(rows) >= k:
-                lower = distance(q, rows)
-                near = np.partition(lower, k - 1, axis=1)[:, k - 1]
-                moved = queries[q] - center
-                # from the lower bound back to an upper one
-                upper = np.maximum(near, 0) + 4e-12 * (moved * moved).sum(1) + 4 * slack
-                bound[q] = np.minimum(bound[q], np.sqrt(upper) * (1 + 1e-12))
-            if distances_only and len(first) == len(blocks):
-                continue
-            reach = bound[q] ** 2 * (1 + 1e-12)
-            wanted = np.flatnonzero((gaps <= reach[:, None]).any(0))
-            parts, start = [], 0
-            while start < len(wanted):  # bounds the matrix of distances
-                stop = start + max(1, int(np.searchsorted(np.cumsum(sizes[wanted[start:]]), PRODUCT_ROWS, side="right")))
-                rows = np.concatenate([blocks[b] for b in wanted[start:stop]])
-                qi, pi = np.nonzero(distance(q, rows) <= reach[:, None])
-                pi = rows[pi]
-                d = np.sqrt(((queries[q[qi]] - points[pi]) ** 2).sum(-1))
-                parts.append((qi, pi, d))
-                start = stop
-            if not parts:
-                continue
-            qi, pi, d = (np.concatenate(v) for v in zip(*parts))
-            order = np.lexsort((keys[pi], d, qi))
-            qi, pi, d = qi[order], pi[order], d[order]
-            begin = np.searchsorted(qi, np.arange(len(q)))
-            place = np.arange(len(qi)) - begin[qi]
-            if distances_only:
-                last = place == k - 1
-                bound[q[qi[last]]] = np.minimum(bound[q[qi[last]]], d[last])
-            else:
-                ok = (place < k) & np.isfinite(d) & (d <= radius[q[qi]])
-                found.append((q[qi[ok]], pi[ok], d[ok]))
+    for q, qi, pi, d in _met(points, queries, bound, k):
+        order = np.lexsort((d, qi) if distances_only else (keys[pi], d, qi))
+        qi, pi, d = qi[order], pi[order], d[order]
+        begin = np.searchsorted(qi, np.arange(len(q)))
+        place = np.arange(len(qi)) - begin[qi]
+        if distances_only:
+            last = place == k - 1
+            bound[q[qi[last]]] = np.minimum(bound[q[qi[last]]], d[last])
+        else:
+            ok = (place < k) & np.isfinite(d)
+            found.append((q[qi[ok]], pi[ok], d[ok]))
     if distances_only:
         return bound
     if not found:
@@ -226,6 +253,41 @@ def _found(names: Sequence[str], k: int):
     return search
 
 
+def _coordinate(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("double"), F.lit(0.0)) + F.lit(0.0)
+
+
+def _finite(column: str) -> Column:
+    return ~F.isnan(column) & (F.abs(column) < F.lit(float("inf")))
+
+
+def cell_count(n: int, cell_rows: int) -> int:
+    """Cells of ``cell_rows`` locations; larger ones, with fewer borders, where there are enough of them."""
+    return min(MAX_CELLS, max(min(MANY_CELLS, math.ceil(n / cell_rows)), math.ceil(n / (LARGE_CELL * cell_rows))))
+
+
+def cell_column(points: DataFrame, names: Sequence[str], n: int, cells: int) -> Column:
+    """The number of a row's cell; the cuts come from a hash sample of the ``n`` points."""
+    if cells == 1:
+        return F.lit(0).cast("long")
+    unit = F.pmod(F.xxhash64(*names), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = points.where(unit <= min(1.0, SAMPLE_PER_CELL * cells / n)).select(*names).distinct().sort(*names)
+    tree = points.sparkSession.sparkContext.broadcast(_cuts(sample.toPandas().to_numpy("float64"), cells))
+
+    @F.pandas_udf("long")
+    def cell_of(*values: pd.Series) -> pd.Series:
+        return pd.Series(_cell_of(np.column_stack([v.to_numpy("float64") for v in values]), tree.value))
+
+    return cell_of(*names)
+
+
+def cell_boxes(points: DataFrame, names: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number, least and largest coordinates of every cell: at most MAX_CELLS rows."""
+    box = points.groupBy("_cell").agg(*[f(n).alias(f"{s}{n}") for s, f in (("l", F.min), ("h", F.max)) for n in names]).collect()
+    low, high = (np.array([[r[f"{s}{n}"] for n in names] for r in box]) for s in "lh")
+    return np.array([r["_cell"] for r in box]), low, high
+
+
 def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int, cell_rows: int = CELL_ROWS, donors: DataFrame | None = None, apart: bool = False) -> DataFrame:
     """(q, o, d, rank): the k nearest rows o of every row q (Euclidean over ``columns``, nulls as 0), exact.
 
@@ -235,8 +297,8 @@ def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int, cell_rows:
     nobody's. Fewer than k candidates: all of them.
     """
     names = [f"_x{i}" for i in range(len(columns))]
-    x = [(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) + F.lit(0.0)).alias(n) for c, n in zip(columns, names)]
-    usable = [~F.isnan(n) & (F.abs(n) < F.lit(float("inf"))) for n in names]
+    x = [_coordinate(c).alias(n) for c, n in zip(columns, names)]
+    usable = [_finite(n) for n in names]
 
     def read(frame: DataFrame) -> DataFrame:
         rows = frame.select(F.col(key).cast("long").alias("_key"), *x)
@@ -265,18 +327,9 @@ def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int, cell_rows:
         locations = materialize(locations.withColumn("_cell", F.lit(0)))
         found = points.withColumn("_cell", F.lit(0)).unionByName(locations).groupBy("_cell").applyInArrow(_found(names, k + 1), FOUND)
     else:
-        unit = F.pmod(F.xxhash64(*names), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        sample = points.where(unit <= min(1.0, SAMPLE_PER_CELL * cells / n)).select(*names).distinct().sort(*names)
-        tree = spark.sparkContext.broadcast(_cuts(sample.toPandas().to_numpy("float64"), cells))
-
-        @F.pandas_udf("long")
-        def cell_of(*values: pd.Series) -> pd.Series:
-            return pd.Series(_cell_of(np.column_stack([v.to_numpy("float64") for v in values]), tree.value))
-
-        points, locations = (materialize(t.withColumn("_cell", cell_of(*names))) for t in (points, locations))
-        box = points.groupBy("_cell").agg(*[f(n).alias(f"{s}{n}") for s, f in (("l", F.min), ("h", F.max)) for n in names]).collect()  # at most MAX_CELLS rows
-        low, high = (np.array([[r[f"{s}{n}"] for n in names] for r in box]) for s in "lh")
-        boxes = spark.sparkContext.broadcast((np.array([r["_cell"] for r in box]), low, high))
+        cell_of = cell_column(points, names, n, cells)
+        points, locations = (materialize(t.withColumn("_cell", cell_of)) for t in (points, locations))
+        boxes = spark.sparkContext.broadcast(cell_boxes(points, names))
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(cells, 2_000))
 
         def dealt(queries: DataFrame):
@@ -381,6 +434,16 @@ def local_outlier_factor(df: DataFrame, key: str, columns: Sequence[str], k: int
 
     A table of one row gives lof null for it (no neighbours). Duplicates are neighbours at distance 0.
     """
+    from tillscope.operators import local_factor
+
+    names = [f"_x{i}" for i in range(len(columns))]
+    rows = materialize(df.select(F.col(key).cast("long").alias("_key"), *[_coordinate(c).alias(n) for c, n in zip(columns, names)]))
+    finite = functools.reduce(Column.__and__, [_finite(n) for n in names], F.lit(True))
+    if rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_m")).where("_key is null or _m > 1").isEmpty():
+        found = local_factor.by_location(rows.where(finite), names, k, cell_rows)
+        rest = rows.where(~finite).select("_key", *[F.lit(None).cast("double").alias(c) for c in found.columns[1:]])
+        return found.unionByName(rest).withColumnRenamed("_key", key)
+    # a key on several rows, or none: neighbours by key
     pairs = materialize(nearest(df, key, columns, k, cell_rows))
     kdist = pairs.groupBy("q").agg(F.max("d").alias("k_distance"))
     reach = pairs.join(kdist.withColumnRenamed("q", "o").withColumnRenamed("k_distance", "_ko"), "o").withColumn("_reach", F.greatest("d", "_ko"))
