@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tillscope.functions.columns import finite_or_zero
@@ -18,6 +20,8 @@ NEIGHBOURS = 20
 REFERENCE_ROWS = 2_000
 RANDOM_FEATURES = 64
 STEPS = 25
+FEATURE_ROWS = 256  # rows whose random features are held at once: they stay in the processor's cache
+_SINE = [(-1) ** j * (2 * math.pi) ** (2 * j + 1) / math.factorial(2 * j + 1) for j in range(11)]
 
 
 def _scaled(df: DataFrame, columns: Sequence[str], scaler: cleaning.Scaler) -> list:
@@ -94,6 +98,33 @@ def fit_local_factor(df: DataFrame, columns: Sequence[str], key: str, scaler: cl
     return LocalFactor(tuple(columns), scaler, x, reach, density, k)
 
 
+def _cosine(turns: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """cos(2 pi turns) to about 1e-15, in ``spare``; both arrays are overwritten. Several times faster than np.cos."""
+    np.rint(turns, out=spare)
+    turns -= spare
+    np.subtract(0.25, np.abs(turns, out=turns), out=turns)  # cos(2 pi t) = sin(2 pi (1/4 - |t|)), within a quarter turn
+    square = turns * turns
+    np.multiply(square, _SINE[-1], out=spare)
+    for c in _SINE[-2:0:-1]:
+        spare += c
+        spare *= square
+    spare += _SINE[0]
+    spare *= turns
+    return spare
+
+
+def _cosine_features(x: np.ndarray, directions: np.ndarray, phases: np.ndarray) -> Iterator[np.ndarray]:
+    """cos(x directions + phases), FEATURE_ROWS rows at a time; an array is valid until the next one."""
+    turn, start = directions / (2 * np.pi), phases / (2 * np.pi)
+    held = np.empty((2, min(FEATURE_ROWS, len(x)), len(phases)))
+    for i in range(0, len(x), FEATURE_ROWS):
+        part = x[i : i + FEATURE_ROWS]
+        turns, spare = held[:, : len(part)]
+        np.matmul(part, turn, out=turns)
+        turns += start
+        yield _cosine(turns, spare)
+
+
 @dataclass(frozen=True)
 class OneClass:
     """One-class margin on random cosine features (Rahimi, Recht 2007) of an RBF kernel."""
@@ -112,7 +143,8 @@ class OneClass:
         def side(*features: pd.Series) -> pd.Series:
             directions, phases, weights, margin = shared.value
             x = np.column_stack([f.to_numpy("float64") for f in features])
-            return pd.Series(np.cos(x @ directions + phases) * np.sqrt(2.0 / len(phases)) @ weights - margin)
+            scaled = weights * np.sqrt(2.0 / len(phases))
+            return pd.Series(np.concatenate([np.zeros(0), *(z @ scaled for z in _cosine_features(x, directions, phases))]) - margin)
 
         return df.withColumn(output, side(*_scaled(df, self.columns, self.scaler)))
 
@@ -131,16 +163,18 @@ def fit_one_class(df: DataFrame, columns: Sequence[str], scaler: cleaning.Scaler
     def sums(weights: np.ndarray, margin: float, everything: bool) -> tuple[np.ndarray, int]:
         shared = context.broadcast((directions, phases, weights, margin))
 
-        def partial(frames):
+        def partial(batches):
             d, p, w, m = shared.value
-            vector, count = np.zeros(len(p)), 0
-            for pdf in frames:
-                z = np.cos(pdf.to_numpy("float64") @ d + p) * np.sqrt(2.0 / len(p))
-                hit = np.ones(len(z), bool) if everything else z @ w < m
-                vector, count = vector + z[hit].sum(0), count + int(hit.sum())
-            yield pd.DataFrame({"place": np.arange(len(p) + 1), "part": np.append(vector, count)})
-
-        rows = data.mapInPandas(partial, "place int, part double").groupBy("place").agg(F.sum("part").alias("s")).collect()
+            height = np.sqrt(2.0 / len(p))
+            vector, count, scaled = np.zeros(len(p)), 0, w * height
+            for batch in batches:
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                for z in _cosine_features(x, d, p):
+                    hit = np.ones(len(z)) if everything else (z @ scaled < m).astype("float64")
+                    vector, count = vector + hit @ z, count + int(hit.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(p) + 1), pa.int32()), pa.array(np.append(vector * height, count))], ["place", "part"])
+
+        rows = data.mapInArrow(partial, "place int, part double").groupBy("place").agg(F.sum("part").alias("s")).collect()
         out = np.zeros(len(phases) + 1)
         for r in rows:
             out[r["place"]] = r["s"]
